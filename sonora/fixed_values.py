@@ -85,13 +85,9 @@ ZONE_OFFSETS = {
 # (watch-history export style first, scrobble style second, then ISO forms).
 PLAY_TIME_FORMATS = [
     "MMM d, yyyy, h:mm:ss a",
-    "MMM d, yyyy, h:mm a",
     "d MMM yyyy, HH:mm",
-    "d MMM yyyy, HH:mm:ss",
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
 ]
 
 # ---------------------------------------------------------------------------

@@ -1,7 +1,7 @@
 """Mood classification and keyword-based audio-feature estimation."""
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column, functions as F
 
@@ -38,7 +38,7 @@ def estimate_features(track_name: Column | str, artist: Column | str) -> Column:
     fields = {"track": F.lower(col_(track_name)), "artist": F.lower(col_(artist))}
     chosen = None
     for field, words, e, v, t, d in FEATURE_RULES:
-        hit = reduce(lambda a, b: a | b, [fields[field].contains(w) for w in words])
+        hit = fields[field].rlike("|".join(re.escape(w) for w in words))
         chosen = (F.when(hit, _values(e, v, t, d)) if chosen is None
                   else chosen.when(hit, _values(e, v, t, d)))
     s = chosen.otherwise(_values(*DEFAULT_FEATURES))
