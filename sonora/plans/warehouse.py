@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sonora.operators.daily import events_with_features, stg_daily_mood
 from sonora.operators.features import build_track_features, new_tracks
+from sonora.operators.profile import user_fingerprint
 from sonora.operators.load import RAW_COLUMNS, clean_incoming, dedup_events
 from sonora.operators.staging import stg_listening_events
 from sonora.session import prepare
@@ -53,3 +54,7 @@ class Warehouse:
     @cached_property
     def daily(self) -> DataFrame:
         return stg_daily_mood(self.stg, self.features, self.keys)
+
+    @cached_property
+    def profiles(self) -> DataFrame:
+        return user_fingerprint(self.daily, self.stg, self.keys, stamp=loaded_at_literal())
