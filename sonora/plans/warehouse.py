@@ -22,18 +22,30 @@ LANDING_ORDER = ["event_id"]
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ()):
+    def __init__(self, spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = (),
+                 batch: str | None = None):
+        """``batch``: None = all landed events; "first" / "second" = events
+        before / from the midpoint of the landed time range (two loads)."""
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
         self.keys = tuple(keys)
+        self.batch = batch
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
     @cached_property
-    def incoming(self) -> DataFrame:
+    def landed(self) -> DataFrame:
         return adapted_events(self.spark, self.sf_dir)
 
+    @cached_property
+    def incoming(self) -> DataFrame:
+        if self.batch is None:
+            return self.landed
+        u = F.col("unix_timestamp")
+        cut = self.landed.agg(F.floor((F.min(u) + F.max(u)) / 2)).scalar()
+        return self.landed.filter(u < cut if self.batch == "first" else u >= cut)
+
     @cached_property
     def raw(self) -> DataFrame:
         deduped = dedup_events(clean_incoming(self.incoming), LANDING_ORDER, self.keys)
