@@ -38,3 +38,94 @@ def weekly_mood(daily: DataFrame, keys: Sequence[str] = (), n: int = WEEKLY_DAYS
         *keys, "played_date", "total_plays", "dominant_mood", "avg_energy", "avg_valence",
         "pct_energetic", "pct_melancholic", "pct_peaceful", "pct_neutral",
         "dominant_time_of_day")
+
+
+def _attach(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per-key join, or a scalar subquery when both sides are one row."""
+    if keys:
+        return left.join(right, list(keys), "left")
+    row = right.select(F.struct(*right.columns).alias("_r")).scalar()
+    return left.withColumn("_r", row).select(*left.columns, *[F.col("_r")[c].alias(c) for c in right.columns])
+
+
+def _text(c) -> F.Column:
+    """Python-style text of a value (doubles in shortest form, null as None)."""
+    return F.coalesce(F.col(c).cast("string"), F.lit("None"))
+
+
+def weekly_brief(week: DataFrame, artists: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The weekly brief's data text per key: one line per recent day (newest
+    first) and the top artists as ``"name (n plays)"`` joined by ", ".
+
+    Inputs are already bounded per key (7 days, 5 artists), so collecting
+    them per key is safe.
+    """
+    line = F.format_string(
+        "- %s: %s songs, dominant mood: %s, energy: %s, valence: %s, listened mostly: %s",
+        date_text("played_date"), _text("total_plays"), _text("dominant_mood"),
+        _text("avg_energy"), _text("avg_valence"), _text("dominant_time_of_day"))
+    days = (week.groupBy(*keys)
+            .agg(F.array_sort(F.collect_list(F.struct(F.col("played_date").alias("d"), line.alias("l"))))
+                 .alias("_days"))
+            .select(*keys, F.array_join(F.transform(F.reverse("_days"), lambda x: x["l"]), "\n")
+                    .alias("days_summary")))
+    item = F.format_string("%s (%s plays)", F.col("artist_clean"), F.col("plays").cast("string"))
+    arts = (artists.groupBy(*keys)
+            .agg(F.array_sort(F.collect_list(F.struct((-F.col("plays")).alias("o"),
+                                                      F.col("artist_clean").alias("a"),
+                                                      item.alias("t")))).alias("_a"))
+            .select(*keys, F.array_join(F.transform("_a", lambda x: x["t"]), ", ").alias("artists_summary")))
+    out = _attach(days, arts, keys)
+    return out.select(
+        *keys, "days_summary", F.coalesce("artists_summary", F.lit("")).alias("artists_summary"),
+        F.concat(F.lit("Daily mood breakdown:\n"), F.col("days_summary"),
+                 F.lit("\n\nTop artists this week:\n"),
+                 F.coalesce("artists_summary", F.lit(""))).alias("brief"))
+
+
+def dashboard_metrics(timeline: DataFrame, card: DataFrame) -> DataFrame:
+    """Display figures: per timeline day the energy bar width
+    (``min(avg_energy*100, 100)``), and the card's energy percent
+    (``Math.round(avg_energy*100)`` = floor(x + 0.5))."""
+    pct = card.select(F.floor(F.col("avg_energy").cast("double") * 100 + 0.5).cast("bigint")
+                      .alias("energy_pct")).scalar()
+    return timeline.select(
+        "date",
+        F.least(F.col("avg_energy") * 100.0, F.lit(100.0)).alias("energy_bar_width"),
+        pct.alias("card_energy_pct"))
+
+
+def dashboard_document(timeline: DataFrame, top_artists: DataFrame, time_counts: DataFrame,
+                       card: DataFrame, brief: DataFrame, matches: DataFrame) -> DataFrame:
+    """One JSON document (a single string column ``document``).
+
+    Every section is bounded before it is gathered: 14 days, 10 artists,
+    4 buckets, one card, one brief, and the top matches.
+    """
+    def section(df: DataFrame, cols: dict, order: list) -> F.Column:
+        structs = df.select(F.struct(*[F.struct(*order).alias("_o")],
+                                     F.struct(*[v.alias(k) for k, v in cols.items()]).alias("v")).alias("s"))
+        return structs.agg(F.transform(F.array_sort(F.collect_list("s")), lambda x: x["v"])).scalar()
+
+    mood = section(timeline, {
+        "date": F.col("date"), "total_plays": F.col("total_plays"),
+        "dominant_mood": F.col("dominant_mood"), "avg_energy": F.col("avg_energy"),
+        "avg_valence": F.col("avg_valence"), "pct_energetic": F.col("pct_energetic"),
+        "pct_melancholic": F.col("pct_melancholic"), "time_of_day": F.col("time_of_day")},
+        [(-F.unix_timestamp(F.to_timestamp("date"))).alias("o")])
+    artists = section(top_artists, {"artist": F.col("artist_clean"), "plays": F.col("plays")},
+                      [(-F.col("plays")).alias("o1"), F.col("artist_clean").alias("o2")])
+    times = section(time_counts, {"time": F.col("time_of_day"), "plays": F.col("plays")},
+                    [(-F.col("plays")).alias("o1"), F.col("time_of_day").alias("o2")])
+    tribe = section(matches, {"username": F.col("username"), "similarity": F.col("similarity"),
+                              "top_mood": F.col("top_mood"), "avg_energy": F.col("avg_energy"),
+                              "days_active": F.col("days_active")},
+                    [(-F.col("similarity")).alias("o1"), F.col("username").alias("o2")])
+    fp = card.select(F.struct("top_mood", F.col("avg_energy").cast("double").alias("avg_energy"),
+                              F.col("avg_valence").cast("double").alias("avg_valence"),
+                              "total_plays", "days_active")).scalar()
+    report = brief.select("brief").scalar()
+    doc = F.struct(mood.alias("mood_timeline"), artists.alias("top_artists"),
+                   times.alias("time_distribution"), fp.alias("fingerprint"),
+                   F.coalesce(report, F.lit("")).alias("weekly_report"), tribe.alias("taste_tribe"))
+    return card.sparkSession.range(1).select(F.to_json(doc).alias("document"))
