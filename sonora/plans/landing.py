@@ -97,3 +97,14 @@ def q_flatten_scrobble_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     scrobble_pages.write_pages(a, path, "event_id")
     flat = scrobble_pages.flatten_pages(scrobble_pages.read_pages(spark, path))
     return flat.select(*RAW_FIELDS_OUT)
+
+
+def q_incremental_load_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scrobble lake loaded by an available-now stream, then read back."""
+    from sonora.streaming.incremental_load import start_incremental_load
+    lake, table, ckpt = (_scratch(spark, k) for k in ("stream-lake", "stream-table", "stream-ckpt"))
+    a = adapted_events(spark, sf_dir).select("event_id", *RAW_FIELDS_OUT)
+    raw_json.write_raw_json(a, lake, "tracks_", "event_id", ROWS_PER_FILE)
+    q = start_incremental_load(spark, lake, table, ckpt, file_col="file", loaded_at=loaded_at_literal())
+    q.awaitTermination()
+    return spark.read.parquet(table)
