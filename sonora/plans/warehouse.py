@@ -6,6 +6,7 @@ consumed.  ``keys=()`` is single-listener semantics over all events;
 """
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,11 +16,15 @@ from sonora.operators.features import build_track_features, new_tracks
 from sonora.operators.profile import user_fingerprint
 from sonora.operators.load import RAW_COLUMNS, clean_incoming, dedup_events
 from sonora.operators.staging import stg_listening_events
-from sonora.session import prepare
+from sonora.session import prepare, staging_path
 from sonora.sources.testdata import adapted_events, loaded_at_literal, read_table
 
 LANDING_ORDER = ["event_id"]
 
+# Stored tables written in this application: (app id, sf dir, keys, batch,
+# table) -> parquet path under the shared checkpoint folder.
+_STORED: dict[tuple, str] = {}
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = (),
@@ -34,6 +39,24 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
+    def stored(self, name: str, build) -> DataFrame:
+        """A warehouse table: built once per application, written as parquet
+        under the shared checkpoint folder, then read back.
+
+        Like the stored tables of the analysed pipeline (raw events, track
+        features, profiles) -- everything else is a view over them.  Writing
+        cuts the lineage (a lost executor re-reads files instead of
+        recomputing the load), and the parquet files give the planner real
+        sizes for its broadcast decisions.
+        """
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.keys, self.batch, name)
+        path = _STORED.get(key)
+        if path is None:
+            path = staging_path(self.spark, "warehouse", f"{name}-{uuid.uuid4().hex}")
+            build().write.parquet(path)
+            _STORED[key] = path
+        return self.spark.read.parquet(path)
+
     @cached_property
     def landed(self) -> DataFrame:
         return adapted_events(self.spark, self.sf_dir)
@@ -48,8 +71,11 @@ class Warehouse:
 
     @cached_property
     def raw(self) -> DataFrame:
-        deduped = dedup_events(clean_incoming(self.incoming), LANDING_ORDER, self.keys)
-        return deduped.select(*self.keys, *RAW_COLUMNS, "loaded_at")
+        """raw_listening_events (stored)."""
+        def build():
+            deduped = dedup_events(clean_incoming(self.incoming), LANDING_ORDER, self.keys)
+            return deduped.select(*self.keys, *RAW_COLUMNS, "loaded_at")
+        return self.stored("raw_listening_events", build)
 
     @cached_property
     def stg(self) -> DataFrame:
@@ -57,7 +83,9 @@ class Warehouse:
 
     @cached_property
     def features(self) -> DataFrame:
-        return build_track_features(new_tracks(self.stg), fetched_at=loaded_at_literal())
+        """track_features (stored)."""
+        return self.stored("track_features", lambda: build_track_features(
+            new_tracks(self.stg), fetched_at=loaded_at_literal()))
 
     @cached_property
     def joined(self) -> DataFrame:
@@ -69,4 +97,6 @@ class Warehouse:
 
     @cached_property
     def profiles(self) -> DataFrame:
-        return user_fingerprint(self.daily, self.stg, self.keys, stamp=loaded_at_literal())
+        """user_embeddings (stored)."""
+        return self.stored("user_embeddings", lambda: user_fingerprint(
+            self.daily, self.stg, self.keys, stamp=loaded_at_literal()))
