@@ -40,14 +40,18 @@ def parse_play_time(text: Column | str) -> Column:
     return (F.unix_seconds(wall) - _zone_offset(zone)).cast("bigint")
 
 
-def coerce_unix(unix_ts: Column | str, text: Column | str) -> Column:
+def coerce_unix(unix_ts: Column | str, text: Column | str, numeric: bool = False) -> Column:
     """The play's epoch second.
 
     A usable ``unix_timestamp`` wins (null, '' and 0 fall through, as they
     are falsy); otherwise the text time is parsed.  A non-numeric
-    ``unix_timestamp`` also falls through instead of failing.
+    ``unix_timestamp`` also falls through instead of failing.  ``numeric``
+    says the column already holds numbers (no text round trip needed).
     """
-    as_num = col_(unix_ts).cast("string").try_cast("double")
+    raw = col_(unix_ts)
+    if numeric:
+        return F.when(raw.isNotNull() & (raw != 0), raw.cast("bigint")).otherwise(parse_play_time(text))
+    as_num = raw.cast("string").try_cast("double")
     usable = as_num.isNotNull() & (as_num != 0)
     return F.when(usable, as_num.try_cast("bigint")).otherwise(parse_play_time(text))
 

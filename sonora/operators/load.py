@@ -4,6 +4,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import NumericType
 
 from sonora.functions.playtime import coerce_unix
 from sonora.functions.text import normalize_text
@@ -13,8 +14,9 @@ RAW_COLUMNS = ["track_name", "artist", "album", "timestamp", "unix_timestamp"]
 
 def with_epoch(incoming: DataFrame) -> DataFrame:
     """Resolve every row's epoch second (null when it cannot be derived)."""
+    numeric = isinstance(incoming.schema["unix_timestamp"].dataType, NumericType)
     return incoming.withColumn(
-        "unix_timestamp", coerce_unix(F.col("unix_timestamp"), F.col("timestamp")))
+        "unix_timestamp", coerce_unix(F.col("unix_timestamp"), F.col("timestamp"), numeric))
 
 
 def clean_incoming(incoming: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_an_oracle_or_is_listed():
     no_sql = set(entry.queries()) - set(entry.oracle_sql())
-    assert no_sql <= {"dashboard_document", "incremental_load_stream"}
+    assert no_sql <= {"dashboard_document"}
 
 
 def test_entry_smoke(spark):
