@@ -48,7 +48,7 @@ def test_clean_artist(spark):
 
 
 def test_normalize_text_unicode_whitespace(spark):
-    rows = [("  Song\t\n",), (None,), (" A B　",)]
+    rows = [("\u00a0 Song\t\n",), (None,), ("\u202fA B\u3000",)]
     assert one_col(spark, rows, "s string", normalize_text("s")) == ["Song", "", "A B"]
 
 
@@ -61,7 +61,7 @@ def test_unescape_and_topic(spark):
 
 @pytest.mark.parametrize("text,epoch", [
     ("May 31, 2026, 5:13:56 PM CDT", 1780265636),
-    ("May 31, 2026, 5:13:56 PM CDT", 1780265636),
+    ("May 31, 2026, 5:13:56\u202fPM CDT", 1780265636),
     ("31 May 2026, 22:13", 1780265580),
     ("May 31, 2026, 5:13:56 PM UTC", 1780247636),
     ("May 31, 2026, 5:13:56 PM GMT", 1780247636),
