@@ -90,7 +90,7 @@ def artist_relative_share(top: DataFrame, keys: Sequence[str] = (),
     """Bar widths of the top artists: plays relative to the first (x100),
     with the 1-based display position, first ``rows`` rows only."""
     w = Window.partitionBy(*keys).orderBy(*rank_order())
-    return (top.withColumn("position", F.row_number().over(w))
+    return (top.withColumn("position", F.row_number().over(w).cast("bigint"))
             .withColumn("top_plays", F.max("plays").over(Window.partitionBy(*keys)))
             .filter(F.col("position") <= rows)
             .select(*keys, "position", "artist_clean", "plays",

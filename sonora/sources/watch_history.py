@@ -41,18 +41,23 @@ def parse_watch_history(blocks: DataFrame) -> DataFrame:
     artist when there is none; the date text is null when absent.
     """
     b = F.col("value")
-    music = blocks.filter(b.contains(EXPORT_MUSIC_MARKER) & b.rlike(_TITLE))
-    channel = F.regexp_extract(b, _CHANNEL, 1)
-    date = F.regexp_extract(b, _DATE, 0)
-    artist = F.when(b.rlike(_CHANNEL), strip_topic_suffix(strip_ws(channel))).otherwise(F.lit(UNKNOWN_ARTIST))
-    return music.select(
-        strip_ws(F.regexp_extract(b, _TITLE, 2)).alias("track_name"),
+    # Each pattern runs once per block: a matched group is never empty, so
+    # an empty extract means "no match".
+    parts = blocks.filter(b.contains(EXPORT_MUSIC_MARKER)).select(
+        F.regexp_extract(b, _TITLE, 1).alias("url"),
+        F.regexp_extract(b, _TITLE, 2).alias("title"),
+        F.regexp_extract(b, _CHANNEL, 1).alias("channel"),
+        F.regexp_extract(b, _DATE, 0).alias("date"))
+    channel, date = F.col("channel"), F.col("date")
+    artist = F.when(channel != "", strip_topic_suffix(strip_ws(channel))).otherwise(F.lit(UNKNOWN_ARTIST))
+    return parts.filter(F.col("url") != "").select(
+        strip_ws("title").alias("track_name"),
         artist.alias("artist"),
         F.lit("").alias("album"),
         F.when(date != "", strip_ws(date)).alias("timestamp"),
         F.lit(None).cast("string").alias("unix_timestamp"),
         F.lit(EXPORT_SOURCE).alias("source"),
-        F.regexp_extract(b, _TITLE, 1).alias("url"),
+        F.col("url"),
     )
 
 
