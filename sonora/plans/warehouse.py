@@ -93,10 +93,28 @@ class Warehouse:
 
     @cached_property
     def daily(self) -> DataFrame:
-        return stg_daily_mood(self.stg, self.features, self.keys)
+        """stg_daily_mood (stored: a small per-(key, day) summary that most
+        serving and profile queries read)."""
+        return self.stored("stg_daily_mood", lambda: stg_daily_mood(self.stg, self.features, self.keys))
 
     @cached_property
     def profiles(self) -> DataFrame:
         """user_embeddings (stored)."""
         return self.stored("user_embeddings", lambda: user_fingerprint(
             self.daily, self.stg, self.keys, stamp=loaded_at_literal()))
+
+
+_WAREHOUSES: dict[tuple, Warehouse] = {}
+
+
+def warehouse(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = (),
+              batch: str | None = None) -> Warehouse:
+    """The application's Warehouse for these inputs: its views are defined
+    (and analysed) once and shared by every query that reads them."""
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(keys), batch)
+    w = _WAREHOUSES.get(key)
+    if w is None:
+        w = _WAREHOUSES[key] = Warehouse(spark, sf_dir, keys, batch)
+    else:
+        prepare(spark)
+    return w

@@ -4,6 +4,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from sonora.operators.daily import stg_daily_mood
 from sonora.operators.load import clean_incoming, dedup_events
 from sonora.plans.warehouse import Warehouse
 from sonora.sources.testdata import adapted_events
@@ -39,7 +40,8 @@ def test_dedup_combines_before_the_shuffle(spark):
 
 
 def test_daily_rollup_combines_plays_before_the_join(spark):
-    plan = executed(Warehouse(spark, SF_SMALL).daily)
+    w = Warehouse(spark, SF_SMALL)
+    plan = executed(stg_daily_mood(w.stg, w.features))
     # plays are counted per (day, track, day part) map-side before any join
     assert re.search(r"HashAggregate\(keys=\[played_date#\d+L?, track_name#\d+, time_of_day#\d+\], "
                      r"functions=\[partial_count", plan)
