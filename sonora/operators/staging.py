@@ -16,10 +16,8 @@ def stg_listening_events(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     played_at, played_date, played_hour, played_day_of_week (Sunday = 0),
     time_of_day, loaded_at.  The play instant is derived once and reused.
     """
-    at = pt.played_at("unix_timestamp")
-    hour = pt.hour_of_day(at)
     return (raw
-            .withColumn("_at", at)
+            .withColumn("_at", pt.played_at("unix_timestamp"))
             .select(
                 *keys,
                 F.col("unix_timestamp").alias("play_id"),

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def write_reports(briefs: DataFrame, path: str, stamp: Column) -> None:
-    """Append each brief as a text file under ``report=pulse_report_<stamp>``."""
+    """Append each brief as a text file under ``report=brief_<stamp>``."""
     (briefs.select(F.col("brief").alias("value"),
-                   F.concat(F.lit("pulse_report_"), stamp).alias("report"))
+                   F.concat(F.lit("brief_"), stamp).alias("report"))
      .write.mode("append").partitionBy("report").text(path))
 
 
