@@ -1,10 +1,14 @@
 """The registered queries of this package, and their SQL where SQL can express them."""
 from __future__ import annotations
 
+from sonora.llm.language_id import op4_language_id
+from sonora.llm.quality_classifier import op10_quality_classifier
 from sonora.llm.quality_rules import op1_quality_rules
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_language_id": op4_language_id,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {}
