@@ -2,12 +2,16 @@
 from __future__ import annotations
 
 from sonora.llm.language_id import op4_language_id
+from sonora.llm.packing import op9_packing
 from sonora.llm.quality_classifier import op10_quality_classifier
 from sonora.llm.quality_rules import op1_quality_rules
+from sonora.llm.token_counts import op8_token_counts
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_language_id": op4_language_id,
+    "op8_token_counts": op8_token_counts,
+    "op9_packing": op9_packing,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
