@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from sonora.llm.language_id import op4_language_id
+from sonora.llm.mixing import op5_mixing
 from sonora.llm.packing import op9_packing
 from sonora.llm.quality_classifier import op10_quality_classifier
 from sonora.llm.quality_rules import op1_quality_rules
@@ -10,6 +11,7 @@ from sonora.llm.token_counts import op8_token_counts
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_language_id": op4_language_id,
+    "op5_mixing": op5_mixing,
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
     "op10_quality_classifier": op10_quality_classifier,
