@@ -6,11 +6,13 @@ from sonora.llm.mixing import op5_mixing
 from sonora.llm.packing import op9_packing
 from sonora.llm.quality_classifier import op10_quality_classifier
 from sonora.llm.quality_rules import op1_quality_rules
+from sonora.llm.secret_scan import op2_secret_scan
 from sonora.llm.simhash_dedup import op7_simhash_dedup
 from sonora.llm.token_counts import op8_token_counts
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_secret_scan": op2_secret_scan,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op7_simhash_dedup": op7_simhash_dedup,
