@@ -9,10 +9,12 @@ from sonora.llm.quality_rules import op1_quality_rules
 from sonora.llm.secret_scan import op2_secret_scan
 from sonora.llm.simhash_dedup import op7_simhash_dedup
 from sonora.llm.token_counts import op8_token_counts
+from sonora.llm.topk_search import op3_topk_search
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secret_scan": op2_secret_scan,
+    "op3_topk_search": op3_topk_search,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op7_simhash_dedup": op7_simhash_dedup,
