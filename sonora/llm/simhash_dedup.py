@@ -215,7 +215,7 @@ def simhash_dedup(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits:
     prepare(docs.sparkSession)
     prints = saved(docs.select("doc_id", fingerprint(F.col("text"), shingle_words).alias("print")), "fingerprints")
     rows = linked(prints, max_bits)
-    ids = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    ids = saved(rows.groupBy("root").agg(F.min("doc_id").alias("component_id")), "ids")
     return rows.join(ids, "root").select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
