@@ -8,6 +8,7 @@ from sonora.llm.quality_classifier import op10_quality_classifier
 from sonora.llm.quality_rules import op1_quality_rules
 from sonora.llm.secret_scan import op2_secret_scan
 from sonora.llm.simhash_dedup import op7_simhash_dedup
+from sonora.llm.substring_dedup import op6_substring_dedup
 from sonora.llm.token_counts import op8_token_counts
 from sonora.llm.topk_search import op3_topk_search
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_topk_search": op3_topk_search,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,

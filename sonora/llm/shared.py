@@ -1,6 +1,7 @@
 """What the operators of this package share: the shared folder, saved tables, input columns."""
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -52,6 +53,9 @@ def saved(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = f"{fresh_path(spark, name)}/table"
     df.write.option("compression", codec).parquet(path)
+    # Spark deletes shuffle files once the driver's collector finds them unused; it may do so now.
+    gc.collect()
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
