@@ -84,10 +84,9 @@ ZONE_OFFSETS = {
 # Datetime patterns tried, in order, on the zone-less play time text
 # (watch-history export style first, scrobble style second, then ISO forms).
 PLAY_TIME_FORMATS = [
-    "MMM d, yyyy, h:mm:ss a",
-    "d MMM yyyy, HH:mm",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
+    "MMM d, yyyy, h:mm[:ss] a",
+    "d MMM yyyy[,] HH:mm[:ss]",
+    "yyyy-MM-dd[['T'][ ]HH:mm[:ss[.SSSSSS][.SSS]]]",
 ]
 
 # ---------------------------------------------------------------------------
@@ -110,14 +109,6 @@ EXPORT_SOURCE = "youtube_music_takeout"
 # FIXED VALUES -- fingerprint vector layout.
 # ---------------------------------------------------------------------------
 FINGERPRINT_DIM = 20
-FINGERPRINT_LABELS = [
-    "energetic %", "melancholic %", "peaceful %", "neutral %",
-    "avg energy", "avg valence", "energy consistency",
-    "valence consistency", "morning listener", "afternoon listener",
-    "evening listener", "night listener", "taste concentration",
-    "listening intensity", "days active ratio", "weekend ratio",
-    "valence trend", "energy trend", "happiness index", "positivity score",
-]
 PLAYS_PER_DAY_SCALE = 50.0
 DAYS_ACTIVE_SCALE = 30.0
 WEEKEND_PLACEHOLDER = 0.5
@@ -125,7 +116,7 @@ TOP_ARTISTS_FOR_CONCENTRATION = 10
 CONCENTRATION_WHEN_NO_ARTIST = 50.0
 
 # ---------------------------------------------------------------------------
-# FIXED VALUES -- persona centroids for synthetic listener profiles
+# FIXED VALUES -- persona centroids
 # (20 dimensions each, same layout as the fingerprint).
 # ---------------------------------------------------------------------------
 PERSONAS = {
@@ -150,9 +141,6 @@ PERSONAS = {
         0.35, 0.40, 0.50, 0.25, 0.45, 0.80, 0.58, 0.62, 0.39, 0.90,
     ],
 }
-PERSONA_NOISE = 0.03
-PERSONA_PLAYS_RANGE = (2000, 8000)
-PERSONA_DAYS_RANGE = (180, 600)
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES -- serving layer.

@@ -49,3 +49,9 @@ def estimate_features(track_name: Column | str, artist: Column | str) -> Column:
         s["danceability"].alias("danceability"),
         (F.lit(1.0) - s["energy"]).alias("acousticness"),
     )
+
+
+def largest(counts: dict[str, Column]) -> Column:
+    """The label with the largest count; equal counts go to the label listed first."""
+    top = F.greatest(*counts.values())
+    return F.coalesce(*[F.when(n == top, F.lit(label)) for label, n in counts.items()])

@@ -13,31 +13,33 @@ from sonora.fixed_values import (
 )
 from sonora.functions.text import col_
 
-_ZONE_TOKEN = r" ([A-Z]{2,5})$"
+# Formats have no weekday (a date says it already).
+_WEEKDAY = r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,? "
+# A zone name, or a Z or numeric offset right after a time of day.
+_ZONE = r" (?!(?:AM|PM)$)[A-Z]{2,5}$|(?<=:[0-9]{2}|\.[0-9]{1,9}) ?(?:Z|[+-][0-9]{2}:?[0-9]{2})$"
 
 
 def _zone_offset(zone: Column) -> Column:
-    offsets = F.create_map(*chain.from_iterable(
-        (F.lit(k), F.lit(v)) for k, v in ZONE_OFFSETS.items()))
-    # Unknown names (and UTC / GMT) count as UTC.
-    return F.coalesce(F.try_element_at(offsets, zone), F.lit(0))
+    """Seconds east of UTC.  Names other than the listed ones (and UTC, GMT, Z) count as UTC."""
+    names = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in ZONE_OFFSETS.items()))
+    number = F.regexp_replace(zone, "[ :]", "").try_cast("int")
+    numeric = F.signum(number) * (F.floor(F.abs(number) / 100) * 3600 + F.abs(number) % 100 * 60)
+    return F.coalesce(F.try_element_at(names, F.trim(zone)), numeric.cast("bigint"), F.lit(0))
 
 
 def parse_play_time(text: Column | str) -> Column:
     """Epoch seconds from free play-time text, or null when unparseable.
 
-    Whitespace of any kind (NBSP, narrow NBSP before AM/PM) is collapsed;
-    a trailing upper-case zone name is split off and mapped to a fixed
-    offset; the remaining wall time is tried against a list of patterns
-    and read as UTC when no zone is given.
+    Whitespace of any kind (NBSP, narrow NBSP before AM/PM) is collapsed and
+    a leading weekday dropped; a trailing zone name (mapped to a fixed
+    offset), or a ``Z`` or numeric offset after a time of day, is split off;
+    the remaining wall time is tried against a list of patterns and read as
+    UTC when no zone is given.
     """
-    txt = F.trim(F.regexp_replace(col_(text), r"(?U)\s+", " "))
-    token = F.regexp_extract(txt, _ZONE_TOKEN, 1)
-    has_zone = (token != "") & ~token.isin("AM", "PM")
-    zone = F.when(has_zone, token).otherwise(F.lit(""))
-    body = F.when(has_zone, F.regexp_replace(txt, _ZONE_TOKEN, "")).otherwise(txt)
+    txt = F.regexp_replace(F.trim(F.regexp_replace(col_(text), r"(?U)\s+", " ")), _WEEKDAY, "")
+    body = F.regexp_replace(txt, _ZONE, "")
     wall = F.coalesce(*[F.try_to_timestamp(body, F.lit(fmt)) for fmt in PLAY_TIME_FORMATS])
-    return (F.unix_seconds(wall) - _zone_offset(zone)).cast("bigint")
+    return (F.unix_seconds(wall) - _zone_offset(F.regexp_extract(txt, _ZONE, 0))).cast("bigint")
 
 
 def coerce_unix(unix_ts: Column | str, text: Column | str, numeric: bool = False) -> Column:
@@ -52,7 +54,7 @@ def coerce_unix(unix_ts: Column | str, text: Column | str, numeric: bool = False
     if numeric:
         return F.when(raw.isNotNull() & (raw != 0), raw.cast("bigint")).otherwise(parse_play_time(text))
     as_num = raw.cast("string").try_cast("double")
-    usable = as_num.isNotNull() & (as_num != 0)
+    usable = as_num.isNotNull() & (as_num != 0) & ~F.isnan(as_num)
     return F.when(usable, as_num.try_cast("bigint")).otherwise(parse_play_time(text))
 
 

@@ -11,7 +11,8 @@ def as_doubles(v: Column | str) -> Column:
 
 
 def dot(a: Column | str, b: Column | str) -> Column:
-    prods = F.zip_with(as_doubles(a), as_doubles(b), lambda x, y: x * y)
+    """Inner product of two columns of doubles."""
+    prods = F.zip_with(col_(a), col_(b), lambda x, y: x * y)
     return F.aggregate(prods, F.lit(0.0), lambda acc, x: acc + x)
 
 
@@ -21,6 +22,7 @@ def norm(a: Column | str) -> Column:
 
 def cosine(a: Column | str, b: Column | str) -> Column:
     """Unrounded cosine similarity; 0.0 when either vector has zero norm."""
+    a, b = as_doubles(a), as_doubles(b)
     norms = norm(a) * norm(b)
     return F.when(norms > 0, dot(a, b) / norms).otherwise(F.lit(0.0))
 
@@ -45,7 +47,3 @@ def percent_of_rounded(cos4: Column) -> Column:
 def percent(cos: Column) -> Column:
     """``round(cos * 100, 1)`` of the unrounded cosine."""
     return F.round(cos * 100.0, 1)
-
-
-def round_all(v: Column | str, scale: int = 4) -> Column:
-    return F.transform(col_(v), lambda x: F.round(x.cast("double"), scale))

@@ -48,18 +48,19 @@ def top_artists_trailing(stg: DataFrame, keys: Sequence[str] = (), n: int = WEEK
     """Top artists over days >= (latest day of *all* plays) - ``days`` days.
 
     The window therefore spans days + 1 calendar dates.  Plays are first
-    counted per (keys, day, artist); the latest day is taken over those
-    counts (a scalar subquery without keys, a per-key window with keys), so
-    no window ever sees unaggregated plays.
+    counted per (keys, day, artist); the latest day is a combining aggregate
+    (a scalar subquery without keys, joined back by key otherwise), so a
+    listener with many artists is never gathered in one task.
     """
     per_day = (stg.groupBy(*keys, "played_date", "artist_clean")
                .agg(F.count(F.lit(1)).alias("plays")))
+    back = F.expr(f"INTERVAL {days} DAYS")
     if keys:
-        latest = F.max("played_date").over(Window.partitionBy(*keys))
+        latest = stg.groupBy(*keys).agg((F.max("played_date") - back).alias("_since"))
+        window = per_day.join(latest, list(keys))
     else:
-        latest = stg.agg(F.max("played_date")).scalar()
-    window = (per_day.withColumn("_since", latest - F.expr(f"INTERVAL {days} DAYS"))
-              .filter(F.col("played_date") >= F.col("_since")).drop("_since"))
+        window = per_day.withColumn("_since", stg.agg(F.max("played_date")).scalar() - back)
+    window = window.filter(F.col("played_date") >= F.col("_since")).drop("_since")
     ranked = (window.filter(is_known_artist("artist_clean"))
               .groupBy(*keys, "artist_clean").agg(F.sum("plays").alias("plays")))
     return top_k(ranked, n, keys)

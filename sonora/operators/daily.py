@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sonora.fixed_values import MOOD_LABELS, PROFILE_MOODS, TIME_OF_DAY_LABELS
+from sonora.functions.mood import largest
 
 AVERAGED = [("energy", 3), ("valence", 3), ("tempo", 1), ("danceability", 3)]
 
@@ -35,29 +36,9 @@ def track_feature_summary(features: DataFrame) -> DataFrame:
     return features.filter(F.col("mood_label").isNotNull()).groupBy("track_name").agg(*aggs)
 
 
-def _argmax_label(counts: dict[str, Column]) -> Column:
-    """Label with the largest count; ties go to the alphabetically first
-    label (what a deterministic ``mode`` returns)."""
-    top = F.greatest(*counts.values())
-    expr = None
-    for label in sorted(counts):
-        cond = counts[label] == top
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr
-
-
 def dominant_mood(prefix: str = "", suffix: str = "_count") -> Column:
-    """Arg-max of the five mood counts; ties: energetic > melancholic >
-    peaceful > intense > neutral."""
-    c = {m: F.col(f"{prefix}{m}{suffix}") for m in MOOD_LABELS}
-    return (F.when((c["energetic"] >= c["melancholic"]) & (c["energetic"] >= c["peaceful"])
-                   & (c["energetic"] >= c["intense"]) & (c["energetic"] >= c["neutral"]),
-                   F.lit("energetic"))
-            .when((c["melancholic"] >= c["peaceful"]) & (c["melancholic"] >= c["intense"])
-                  & (c["melancholic"] >= c["neutral"]), F.lit("melancholic"))
-            .when((c["peaceful"] >= c["intense"]) & (c["peaceful"] >= c["neutral"]), F.lit("peaceful"))
-            .when(c["intense"] >= c["neutral"], F.lit("intense"))
-            .otherwise(F.lit("neutral")))
+    """The mood with the most plays; ties: energetic > melancholic > peaceful > intense > neutral."""
+    return largest({m: F.col(f"{prefix}{m}{suffix}") for m in MOOD_LABELS})
 
 
 def stg_daily_mood(stg: DataFrame, features: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -95,7 +76,7 @@ def stg_daily_mood(stg: DataFrame, features: DataFrame, keys: Sequence[str] = ()
         *[F.round(F.try_divide(F.col(f"s_{c}"), F.col(f"c_{c}")), s).alias(f"avg_{c}")
           for c, s in AVERAGED],
         *[F.col(f"{m}_count") for m in MOOD_LABELS],
-        _argmax_label({b: F.col(f"tod_{b}") for b in TIME_OF_DAY_LABELS}).alias("dominant_time_of_day"),
+        largest({b: F.col(f"tod_{b}") for b in sorted(TIME_OF_DAY_LABELS)}).alias("dominant_time_of_day"),
         dominant_mood().alias("dominant_mood"),
         *[F.round(F.lit(100.0) * F.col(f"{m}_count") / total, 1).alias(f"pct_{m}")
           for m in PROFILE_MOODS],

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
 from sonora.functions.playtime import coerce_unix
@@ -60,6 +60,31 @@ def load_events(existing: DataFrame, incoming: DataFrame, order_by: Sequence[str
     return fresh.select(*keys, *RAW_COLUMNS, stamp.alias("loaded_at"))
 
 
+def play_date(epoch: str = "unix_timestamp") -> Column:
+    """The (UTC) day of a play, by which the appended table is partitioned."""
+    return F.timestamp_seconds(epoch).cast("date")
+
+
+def fresh_events(existing: DataFrame, incoming: DataFrame, order_by: Sequence[str],
+                 keys: Sequence[str] = ()) -> DataFrame:
+    """Rows of a load that the table (partitioned by ``play_date``) lacks.
+    Only the partitions between the load's first and last day are read."""
+    clean = clean_incoming(incoming)
+    days = clean.select(play_date().alias("d"))
+    first, last = days.agg(F.min("d")).scalar(), days.agg(F.max("d")).scalar()
+    near = existing.filter((F.col("play_date") >= first) & (F.col("play_date") <= last))
+    return new_events(dedup_events(clean, order_by, keys), near, keys)
+
+
+def append_events(existing: DataFrame, table_dir: str, incoming: DataFrame, order_by: Sequence[str],
+                  keys: Sequence[str] = (), loaded_at: Column | None = None) -> None:
+    """Append a load to the table at ``table_dir``; loading the same rows again appends nothing."""
+    stamp = loaded_at if loaded_at is not None else F.current_timestamp().cast("timestamp_ntz")
+    rows = fresh_events(existing, incoming, order_by, keys)
+    rows = rows.select(*keys, *RAW_COLUMNS, stamp.alias("loaded_at"), play_date().alias("play_date"))
+    rows.write.mode("append").partitionBy("play_date").parquet(table_dir)
+
+
 def load_audit(existing: DataFrame, incoming: DataFrame, order_by: Sequence[str],
                keys: Sequence[str] = ()) -> DataFrame:
     """One row: rows before, after, inserted, already present, skipped.

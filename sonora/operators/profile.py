@@ -19,6 +19,7 @@ from sonora.fixed_values import (
     TIME_OF_DAY_LABELS,
     WEEKEND_PLACEHOLDER,
 )
+from sonora.functions.mood import largest
 from sonora.operators.artists import top10_concentration
 from sonora.operators.timeofday import time_of_day_pivot
 
@@ -56,17 +57,6 @@ def day_signals(daily: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def top_mood(counts: dict[str, Column]) -> Column:
-    """Label whose count is largest; ties go to the earlier label in
-    PROFILE_MOODS order (energetic, melancholic, peaceful, neutral)."""
-    top = F.greatest(*counts.values())
-    expr = None
-    for m in PROFILE_MOODS:
-        cond = counts[m] == top
-        expr = F.when(cond, F.lit(m)) if expr is None else expr.when(cond, F.lit(m))
-    return expr
-
-
 def profile_stats(daily: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Means, population std-devs, half-split trends and activity per key."""
     s = day_signals(daily, keys)
@@ -93,7 +83,7 @@ def profile_stats(daily: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         "days_active", "total_plays",
         F.when(has_split, snap("late_v") - snap("early_v")).otherwise(F.lit(0.0)).alias("trend_v"),
         F.when(has_split, snap("late_e") - snap("early_e")).otherwise(F.lit(0.0)).alias("trend_e"),
-        top_mood({m: F.col(f"days_{m}") for m in PROFILE_MOODS}).alias("top_mood"),
+        largest({m: F.col(f"days_{m}") for m in PROFILE_MOODS}).alias("top_mood"),
     )
 
 
@@ -116,7 +106,8 @@ def fingerprint_vector(stats: DataFrame, shares: DataFrame, concentration: DataF
     population std-dev capped at 1; 8-11 time-of-day shares / 100;
     12 concentration / 100; 13 plays per day / 50 capped; 14 days / 30
     capped; 15 constant 0.5; 16-17 (trend + 1) / 2 for valence, energy;
-    18 energy x valence; 19 1 - melancholic share / 100.
+    18 energy x valence; 19 1 - melancholic share / 100.  Without any day
+    every dimension is 0.5.
     """
     j = _attach(_attach(stats, shares, keys), concentration, keys)
     share = {b: F.coalesce(F.col(b), F.lit(0.0)) for b in TIME_OF_DAY_LABELS}
@@ -135,21 +126,24 @@ def fingerprint_vector(stats: DataFrame, shares: DataFrame, concentration: DataF
         1 - F.col("mean_melancholic") / 100.0,
     ]
     assert len(dims) == FINGERPRINT_DIM
-    return j.withColumn("embedding", F.array(*[F.round(d.cast("double"), 4) for d in dims]))
+    vector = F.array(*[F.round(d.cast("double"), 4) for d in dims])
+    no_days = F.array_repeat(F.lit(0.5), FINGERPRINT_DIM)
+    return j.withColumn("embedding", F.when(F.col("days_active") > 0, vector).otherwise(no_days))
 
 
 def user_fingerprint(daily: DataFrame, stg: DataFrame, keys: Sequence[str] = (),
                      username: Column | None = None, stamp: Column | None = None) -> DataFrame:
     """Profile rows: username, embedding, embedding_dim, top_mood, avg_energy,
-    avg_valence (32-bit), total_plays, days_active (32-bit), created_at,
-    updated_at.  A key without any feature-joined day gets no row."""
+    avg_valence (32-bit), total_plays, days_active, created_at,
+    updated_at.  A key without any feature-joined day gets no row, nor does
+    the single listener without one."""
     stats = profile_stats(daily, keys)
     vec = fingerprint_vector(stats, time_of_day_pivot(stg, keys), top10_concentration(stg, keys), keys)
     if username is None:
         username = (F.concat(F.lit("user_"), F.col(keys[0]).cast("string")) if keys
                     else F.lit("listener"))
     ts = stamp if stamp is not None else F.current_timestamp().cast("timestamp_ntz")
-    return vec.select(
+    return vec.filter(F.col("days_active") > 0).select(
         *keys,
         username.alias("username"),
         "embedding",
@@ -157,8 +151,8 @@ def user_fingerprint(daily: DataFrame, stg: DataFrame, keys: Sequence[str] = (),
         "top_mood",
         F.round("mean_e", 4).cast("float").alias("avg_energy"),
         F.round("mean_v", 4).cast("float").alias("avg_valence"),
-        F.col("total_plays").cast("int").alias("total_plays"),
-        F.col("days_active").cast("int").alias("days_active"),
+        "total_plays",
+        "days_active",
         ts.alias("created_at"),
         ts.alias("updated_at"),
     )

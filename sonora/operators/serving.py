@@ -95,37 +95,53 @@ def dashboard_metrics(timeline: DataFrame, card: DataFrame) -> DataFrame:
         pct.alias("card_energy_pct"))
 
 
-def dashboard_document(timeline: DataFrame, top_artists: DataFrame, time_counts: DataFrame,
-                       card: DataFrame, brief: DataFrame, matches: DataFrame) -> DataFrame:
-    """One JSON document (a single string column ``document``).
-
-    Every section is bounded before it is gathered: 14 days, 10 artists,
-    4 buckets, one card, one brief, and the top matches.
+def _sections(rows: DataFrame, name: str, fields: dict, order: Sequence[F.Column] | None) -> DataFrame:
+    """Rows (section, position, json) of one section; without an order the
+    position is null (an unbounded section, ordered by its own fields)."""
+    body = F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]), {"ignoreNullFields": "false"})
+    position = F.row_number().over(Window.orderBy(*order)) if order else F.lit(None)
+    return rows.select(F.lit(name).alias("section"), position.cast("bigint").alias("position"), body.alias("json"))
+
+
+def dashboard_sections(timeline: DataFrame, top_artists: DataFrame, time_counts: DataFrame,
+                       card: DataFrame, report: DataFrame, matches: DataFrame) -> DataFrame:
+    """The dashboard document as rows (section, position, json), so that no
+    section is cut and none is gathered in one string.
+
+    Positions number the bounded sections (14 days, 10 artists, 4 buckets, one
+    card, one report).  ``taste_tribe`` holds every match; its consumers order
+    it by similarity (descending) and username.  Without a profile the card
+    is ``{}`` and there are no matches; without a report its text is ''.
     """
-    def section(df: DataFrame, cols: dict, order: list) -> F.Column:
-        structs = df.select(F.struct(*[F.struct(*order).alias("_o")],
-                                     F.struct(*[v.alias(k) for k, v in cols.items()]).alias("v")).alias("s"))
-        return structs.agg(F.transform(F.array_sort(F.collect_list("s")), lambda x: x["v"])).scalar()
-
-    mood = section(timeline, {
-        "date": F.col("date"), "total_plays": F.col("total_plays"),
-        "dominant_mood": F.col("dominant_mood"), "avg_energy": F.col("avg_energy"),
-        "avg_valence": F.col("avg_valence"), "pct_energetic": F.col("pct_energetic"),
-        "pct_melancholic": F.col("pct_melancholic"), "time_of_day": F.col("time_of_day")},
-        [(-F.unix_timestamp(F.to_timestamp("date"))).alias("o")])
-    artists = section(top_artists, {"artist": F.col("artist_clean"), "plays": F.col("plays")},
-                      [(-F.col("plays")).alias("o1"), F.col("artist_clean").alias("o2")])
-    times = section(time_counts, {"time": F.col("time_of_day"), "plays": F.col("plays")},
-                    [(-F.col("plays")).alias("o1"), F.col("time_of_day").alias("o2")])
-    tribe = section(matches, {"username": F.col("username"), "similarity": F.col("similarity"),
-                              "top_mood": F.col("top_mood"), "avg_energy": F.col("avg_energy"),
-                              "days_active": F.col("days_active")},
-                    [(-F.col("similarity")).alias("o1"), F.col("username").alias("o2")])
-    fp = card.select(F.struct("top_mood", F.col("avg_energy").cast("double").alias("avg_energy"),
-                              F.col("avg_valence").cast("double").alias("avg_valence"),
-                              "total_plays", "days_active")).scalar()
-    report = brief.select("brief").scalar()
-    doc = F.struct(mood.alias("mood_timeline"), artists.alias("top_artists"),
-                   times.alias("time_distribution"), fp.alias("fingerprint"),
-                   F.coalesce(report, F.lit("")).alias("weekly_report"), tribe.alias("taste_tribe"))
-    return card.sparkSession.range(1).select(F.to_json(doc).alias("document"))
+    c = F.col
+    fields = F.struct("top_mood", c("avg_energy").cast("double").alias("avg_energy"),
+                      c("avg_valence").cast("double").alias("avg_valence"), "total_plays", "days_active")
+    cards = card.agg(F.coalesce(F.max(F.to_json(fields, {"ignoreNullFields": "false"})), F.lit("{}")).alias("json"))
+    return (_sections(timeline, "mood_timeline", {k: c(k) for k in (
+                "date", "total_plays", "dominant_mood", "avg_energy", "avg_valence", "pct_energetic",
+                "pct_melancholic", "time_of_day")}, [c("date").desc()])
+            .unionByName(_sections(top_artists, "top_artists", {"artist": c("artist_clean"), "plays": c("plays")},
+                                   [c("plays").desc(), c("artist_clean")]))
+            .unionByName(_sections(time_counts, "time_distribution", {"time": c("time_of_day"), "plays": c("plays")},
+                                   [c("plays").desc(), c("time_of_day")]))
+            .unionByName(cards.select(F.lit("fingerprint").alias("section"), F.lit(1).cast("bigint").alias("position"), "json"))
+            .unionByName(_sections(report, "weekly_report", {"text": c("latest_report")}, [c("latest_report")]))
+            .unionByName(_sections(matches, "taste_tribe", {k: c(k) for k in (
+                "username", "similarity", "top_mood", "avg_energy", "days_active")}, None)))
+
+
+DASHBOARD_FIELDS = (
+    "date string, total_plays bigint, dominant_mood string, avg_energy double, avg_valence double, "
+    "pct_energetic double, pct_melancholic double, time_of_day string, artist string, plays bigint, time string, "
+    "top_mood string, days_active bigint, text string, username string, similarity double")
+
+
+def write_dashboard(sections: DataFrame, path: str) -> None:
+    """The document's sink: JSON lines in one folder per section."""
+    sections.write.mode("overwrite").partitionBy("section").json(path)
+
+
+def read_dashboard(spark, path: str) -> DataFrame:
+    """The written sections with their fields as columns (null where a section lacks one)."""
+    rows = spark.read.schema("position bigint, json string, section string").json(path)
+    return rows.select("section", "position", F.from_json("json", DASHBOARD_FIELDS).alias("f")).select("section", "position", "f.*")

@@ -1,4 +1,4 @@
-"""One-vs-rest similarity over profile vectors, and persona profiles.
+"""One-vs-rest similarity over profile vectors, and nearest personas.
 
 The target's vector is fetched with a scalar subquery: a single value with
 a proven size (one row, selected by a unique key -- Spark raises if the key
@@ -8,22 +8,13 @@ pass over the profiles, split across as many tasks as the table has.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from sonora.fixed_values import (
-    PERSONA_DAYS_RANGE,
-    PERSONA_NOISE,
-    PERSONA_PLAYS_RANGE,
-    PERSONAS,
-    SIMILAR_USERS_TOP_N,
-)
-from sonora.functions.vectors import cosine, percent, percent_of_rounded
+import math
 
+from pyspark.sql import Column, DataFrame, functions as F
 
-def target_vector(profiles: DataFrame, target: Column, key: str = "username",
-                  vector: str = "embedding") -> Column:
-    """The target's vector as a scalar subquery (null when absent)."""
-    return profiles.filter(F.col(key) == target).select(vector).scalar()
+from sonora.fixed_values import PERSONAS, SIMILAR_USERS_TOP_N
+from sonora.functions.mood import largest
+from sonora.functions.vectors import as_doubles, dot, norm, percent, percent_of_rounded
 
 
 def default_target(profiles: DataFrame, key: str = "username") -> Column:
@@ -34,13 +25,19 @@ def default_target(profiles: DataFrame, key: str = "username") -> Column:
 def similarity_to(profiles: DataFrame, target: Column, key: str = "username",
                   vector: str = "embedding") -> DataFrame:
     """Every other row with its unrounded cosine to the target."""
-    # The target vector is attached as a column first: subqueries may not
-    # appear inside the higher-order functions that compute the cosine.
-    tv = target_vector(profiles, target, key, vector)
-    return (profiles.filter(F.col(key) != target)
-            .withColumn("_target", tv)
-            .withColumn("_cos", cosine(F.col(vector), F.col("_target")))
-            .drop("_target"))
+    # The target vector and its norm are computed once, in the subquery, and
+    # attached as a column: subqueries may not appear inside the higher-order
+    # functions that compute the cosine.  Each step is a column of its own, so
+    # no interpreted lambda runs twice.
+    me = profiles.filter(F.col(key) == target).select(as_doubles(vector).alias("v"))
+    me = me.select(F.struct("v", norm("v").alias("n"))).scalar()
+    rows = (profiles.filter(F.col(key) != target)
+            .withColumn("_target", me)
+            .withColumn("_v", as_doubles(vector))
+            .withColumn("_dot", dot("_v", "_target.v"))
+            .withColumn("_norms", norm("_v") * F.col("_target.n")))
+    cos = F.when(F.col("_norms") > 0, F.col("_dot") / F.col("_norms")).otherwise(F.lit(0.0))
+    return rows.withColumn("_cos", cos).drop("_target", "_v", "_dot", "_norms")
 
 
 def cosine_to_target(vectors: DataFrame, target: Column, key: str, vector: str) -> DataFrame:
@@ -81,47 +78,13 @@ def fingerprint_card(profiles: DataFrame, target: Column, key: str = "username")
         "top_mood", "avg_energy", "avg_valence", "total_plays", "days_active")
 
 
-# ---------------------------------------------------------------------------
-# Persona profiles: one synthetic profile per listener key.
-# ---------------------------------------------------------------------------
-
-_PRIME = 2147483647
-
-
-def _unit_hash(key: Column, salt: int) -> Column:
-    """Deterministic value in [0, 1) from an integer key and a salt, using
-    integer arithmetic only (so any SQL engine can reproduce it)."""
-    h1 = F.pmod(key * F.lit(48271) + F.lit(salt * 16807 + 11), F.lit(_PRIME))
-    h2 = F.pmod(h1 * F.lit(69621) + F.lit(salt + 1), F.lit(_PRIME))
-    return h2.cast("double") / _PRIME
-
-
-def persona_profiles(listeners: DataFrame, key: str) -> DataFrame:
-    """For each listener key: persona = centroid number ``pmod(key, 5)``,
-    every dimension jittered by up to +-0.03, clamped to [0, 1], rounded
-    to 4; plays in [2000, 8000), days in [180, 600); ``top_mood`` is the
-    persona name's first word."""
-    names = list(PERSONAS)
-    centroids = F.array(*[F.array(*[F.lit(float(x)) for x in PERSONAS[n]]) for n in names])
-    labels = F.array(*[F.lit(n) for n in names])
-    idx = F.pmod(F.col(key), F.lit(len(names))).cast("int")
-    k = F.col(key)
-    noise = F.array(*[(_unit_hash(k, d) * 2 - 1) * PERSONA_NOISE for d in range(20)])
-    vec = F.zip_with(F.element_at(centroids, idx + 1), noise,
-                     lambda c, n: F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), c + n)), 4))
-    lo_p, hi_p = PERSONA_PLAYS_RANGE
-    lo_d, hi_d = PERSONA_DAYS_RANGE
-    persona = F.element_at(labels, idx + 1)
-    return (listeners.select(key).distinct()
-            .withColumn("_vec", vec)
-            .select(
-                key,
-                F.concat(persona, F.lit("_"), k.cast("string")).alias("username"),
-                F.col("_vec").alias("embedding"),
-                F.lit(20).alias("embedding_dim"),
-                F.substring_index(persona, "_", 1).alias("top_mood"),
-                F.col("_vec")[4].cast("float").alias("avg_energy"),
-                F.col("_vec")[5].cast("float").alias("avg_valence"),
-                (F.floor(_unit_hash(k, 100) * (hi_p - lo_p)) + lo_p).cast("int").alias("total_plays"),
-                (F.floor(_unit_hash(k, 101) * (hi_d - lo_d)) + lo_d).cast("int").alias("days_active"),
-            ))
+def nearest_persona(profiles: DataFrame, key: str = "username") -> DataFrame:
+    """For each profile, the persona whose centroid is most similar: its name
+    and the cosine rounded to 4; equal cosines go to the persona listed first."""
+    rows = profiles.withColumn("_v", as_doubles("embedding")).withColumn("_n", norm("_v"))
+    for name, centroid in PERSONAS.items():
+        c = F.array(*[F.lit(float(x)) for x in centroid])
+        size = math.sqrt(sum(float(x) ** 2 for x in centroid))
+        rows = rows.withColumn(f"_{name}", F.round(F.when(F.col("_n") > 0, dot("_v", c) / (F.col("_n") * size)).otherwise(0.0), 4))
+    found = {name: F.col(f"_{name}") for name in PERSONAS}
+    return rows.select(key, largest(found).alias("persona"), F.greatest(*found.values()).alias("similarity"))

@@ -3,15 +3,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 
-def upsert(table: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows of ``table`` whose key is not in ``updates``, plus all of
-    ``updates`` (which replace old rows whole, timestamps included).
+def last_of_each(updates: DataFrame, key: Sequence[str], order_by: Sequence[str] = ("updated_at",)) -> DataFrame:
+    """One row per key: the last by ``order_by``, then by the other columns."""
+    first = [c for c in order_by if c in updates.columns and c not in key]
+    rest = [c for c in updates.columns if c not in key and c not in first]
+    last = updates.groupBy(*key).agg(F.max(F.struct(*first, *rest)).alias("_last"))
+    return last.select(*[F.col(c) if c in key else F.col("_last")[c].alias(c) for c in updates.columns])
+
+
+def upsert(table: DataFrame, updates: DataFrame, key: Sequence[str], order_by: Sequence[str] = ("updated_at",)) -> DataFrame:
+    """Rows of ``table`` whose key is not in ``updates``, plus one row of
+    ``updates`` per key (which replaces the old row whole, timestamps included).
 
     A hash anti-join on the key, then a union: the result is written to a
     new location (never over the table being read).
     """
+    fresh = last_of_each(updates, key, order_by)
     kept = table.join(updates.select(*key).distinct(), list(key), "left_anti")
-    return kept.unionByName(updates)
+    return kept.unionByName(fresh)

@@ -47,7 +47,8 @@ def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parsed_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _scratch(spark, "export")
-    watch_history.write_export(watch_history.render_blocks(export_rows(spark, sf_dir)), path)
+    # An export lists its plays in order, here that of the events.
+    watch_history.write_export(watch_history.render_blocks(export_rows(spark, sf_dir).orderBy("event_id")), path)
     return watch_history.parse_watch_history(watch_history.read_blocks(spark, path))
 
 
@@ -79,14 +80,13 @@ def q_union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scrobble files and export-derived files in one lake, loaded together:
     ``takeout_music_*`` sorts first, so the export copy of a second wins."""
     lake = _scratch(spark, "lake2")
-    a = adapted_events(spark, sf_dir).select("event_id", *RAW_FIELDS_OUT)
-    raw_json.write_raw_json(a, lake, "tracks_", "event_id", ROWS_PER_FILE)
-    export = parsed_export(spark, sf_dir).withColumn(
-        "event_id", F.regexp_extract("url", r"v=(\d+)", 1).cast("bigint"))
-    raw_json.write_raw_json(export.select("event_id", "track_name", "artist", "album", "timestamp",
-                                          "unix_timestamp", "source", "url"),
-                            lake, "takeout_music_", "event_id", ROWS_PER_FILE)
-    return _load(raw_json.scan_raw_json(spark, lake, file_col="file"))
+    a = adapted_events(spark, sf_dir).select(F.lit("tracks").alias("file_name"), F.col("event_id").alias("pos"), *RAW_FIELDS_OUT)
+    raw_json.land_json_lines(a, lake)
+    at = F.col("position")
+    export = parsed_export(spark, sf_dir).select(
+        F.format_string("takeout_music_%s_%015d", at["file"], at["split"]).alias("file_name"), at["row"].alias("pos"), *RAW_FIELDS_OUT)
+    raw_json.land_json_lines(export, lake)
+    return _load(raw_json.scan_json_lines(spark, lake))
 
 
 def q_flatten_scrobble_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,4 +107,4 @@ def q_incremental_load_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_json.write_raw_json(a, lake, "tracks_", "event_id", ROWS_PER_FILE)
     q = start_incremental_load(spark, lake, table, ckpt, file_col="file", loaded_at=loaded_at_literal())
     q.awaitTermination()
-    return spark.read.parquet(table)
+    return spark.read.parquet(table).drop("play_date")

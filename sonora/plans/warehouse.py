@@ -1,11 +1,12 @@
 """The listening warehouse derived from one test-data directory.
 
-Every attribute is a lazy DataFrame; nothing runs until a query's result is
-consumed.  ``keys=()`` is single-listener semantics over all events;
+Views are lazy DataFrames.  Four tables are stored: each is written when it is
+first needed, or for all of them by ``materialise``, and read back.  ``keys=()`` is single-listener semantics over all events;
 ``keys=("user_id",)`` keeps listeners apart (identity = listener + second).
 """
 from __future__ import annotations
 
+import time
 import uuid
 from functools import cached_property
 
@@ -69,13 +70,27 @@ class Warehouse:
         cut = self.landed.agg(F.floor((F.min(u) + F.max(u)) / 2)).scalar()
         return self.landed.filter(u < cut if self.batch == "first" else u >= cut)
 
+    # --- what each table is built from (lazy, nothing stored in between) ---
+
+    def build_raw(self) -> DataFrame:
+        deduped = dedup_events(clean_incoming(self.incoming), LANDING_ORDER, self.keys)
+        return deduped.select(*self.keys, *RAW_COLUMNS, "loaded_at")
+
+    def build_features(self, stg: DataFrame) -> DataFrame:
+        return build_track_features(new_tracks(stg), fetched_at=loaded_at_literal())
+
+    def build_daily(self, stg: DataFrame, features: DataFrame) -> DataFrame:
+        return stg_daily_mood(stg, features, self.keys)
+
+    def build_profiles(self, daily: DataFrame, stg: DataFrame) -> DataFrame:
+        return user_fingerprint(daily, stg, self.keys, stamp=loaded_at_literal())
+
+    # --- the stored tables and the views over them ---
+
     @cached_property
     def raw(self) -> DataFrame:
         """raw_listening_events (stored)."""
-        def build():
-            deduped = dedup_events(clean_incoming(self.incoming), LANDING_ORDER, self.keys)
-            return deduped.select(*self.keys, *RAW_COLUMNS, "loaded_at")
-        return self.stored("raw_listening_events", build)
+        return self.stored("raw_listening_events", self.build_raw)
 
     @cached_property
     def stg(self) -> DataFrame:
@@ -84,8 +99,7 @@ class Warehouse:
     @cached_property
     def features(self) -> DataFrame:
         """track_features (stored)."""
-        return self.stored("track_features", lambda: build_track_features(
-            new_tracks(self.stg), fetched_at=loaded_at_literal()))
+        return self.stored("track_features", lambda: self.build_features(self.stg))
 
     @cached_property
     def joined(self) -> DataFrame:
@@ -95,13 +109,22 @@ class Warehouse:
     def daily(self) -> DataFrame:
         """stg_daily_mood (stored: a small per-(key, day) summary that most
         serving and profile queries read)."""
-        return self.stored("stg_daily_mood", lambda: stg_daily_mood(self.stg, self.features, self.keys))
+        return self.stored("stg_daily_mood", lambda: self.build_daily(self.stg, self.features))
 
     @cached_property
     def profiles(self) -> DataFrame:
         """user_embeddings (stored)."""
-        return self.stored("user_embeddings", lambda: user_fingerprint(
-            self.daily, self.stg, self.keys, stamp=loaded_at_literal()))
+        return self.stored("user_embeddings", lambda: self.build_profiles(self.daily, self.stg))
+
+    def materialise(self) -> dict[str, float]:
+        """Write the four stored tables now, in order; seconds of each.  A
+        query that touches a table first would write it otherwise."""
+        took = {}
+        for name in ("raw", "features", "daily", "profiles"):
+            began = time.perf_counter()
+            getattr(self, name)
+            took[name] = round(time.perf_counter() - began, 3)
+        return took
 
 
 _WAREHOUSES: dict[tuple, Warehouse] = {}

@@ -4,6 +4,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings the operators need for their results to be right, whatever built
@@ -72,6 +73,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="sonora-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")
@@ -83,6 +86,11 @@ def staging_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "sonora-staged", *[p.strip("/") for p in parts]])
 
 
+def missing_path(error: AnalysisException) -> bool:
+    """Whether a read failed only because nothing lies at its path."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local-only helpers (tests)."""
     return path[len("file:"):] if path.startswith("file:") else path

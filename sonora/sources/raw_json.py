@@ -15,19 +15,59 @@ RAW_RECORD = ("array<struct<track_name:string,artist:string,album:string,timesta
 RAW_FIELDS = ["track_name", "artist", "album", "timestamp", "unix_timestamp"]
 
 
-def scan_raw_json(spark: SparkSession, path: str, file_col: str = "file_name") -> DataFrame:
+def plays_of(value: Column) -> Column:
+    """The play objects of one file's text; null unless it is one whole JSON array."""
+    text = F.regexp_replace(value, r"^\s+|\s+$", "")
+    whole = text.startswith("[") & text.endswith("]")
+    return F.when(whole, F.from_json(value, RAW_RECORD))
+
+
+def _files(spark: SparkSession, path: str, file_col: str) -> DataFrame:
+    files = spark.read.text(path, wholetext=True)
+    name = F.col(file_col) if file_col in files.columns else F.col("_metadata.file_name")
+    return files.select(name.alias("file_name"), "value")
+
+
+def exploded(files: DataFrame, on_error: str = "fail") -> DataFrame:
+    """Rows of (file_name, value) files.  ``on_error``: "fail" stops at a file that is not one
+    JSON array; "skip" leaves it to ``rejected_files``."""
+    if on_error not in ("fail", "skip"):
+        raise ValueError(f"unknown on_error={on_error!r}")
+    plays = plays_of(F.col("value"))
+    if on_error == "fail":
+        bad = F.raise_error(F.concat(F.lit("not a JSON array of plays: "), F.col("file_name")))
+        plays = F.coalesce(plays, bad.cast(RAW_RECORD))
+    return files.select("file_name", F.posexplode(plays).alias("pos", "rec")).select("file_name", "pos", "rec.*")
+
+
+def rejected_files(spark: SparkSession, path: str, file_col: str = "file_name") -> DataFrame:
+    """Names and sizes of the files that a scan with ``on_error="skip"`` leaves out."""
+    files = _files(spark, path, file_col)
+    return files.filter(plays_of(F.col("value")).isNull()).select("file_name", F.char_length("value").alias("n_chars"))
+
+
+def scan_raw_json(spark: SparkSession, path: str, file_col: str = "file_name", on_error: str = "fail") -> DataFrame:
     """One row per play object: file name, position, and the record fields.
 
-    Each file is one task (a JSON array is not splittable); files are
+    A file that is not one JSON array of objects stops the scan, or is left
+    out and listed by ``rejected_files`` (``on_error="skip"``).  Each file is one task (a JSON array is not splittable); files are
     independent, so the lake is read with as many tasks as it has files.
     ``file_col`` names the column holding the file name (when the lake is
     laid out in ``file=<name>`` folders, that partition value is used).
     """
-    files = spark.read.text(path, wholetext=True)
-    name = F.col(file_col) if file_col in files.columns else F.col("_metadata.file_name")
-    return (files.select(name.alias("file_name"),
-                         F.posexplode(F.from_json("value", RAW_RECORD)).alias("pos", "rec"))
-            .select("file_name", "pos", "rec.*"))
+    return exploded(_files(spark, path, file_col), on_error)
+
+
+def land_json_lines(records: DataFrame, path: str) -> None:
+    """Land records as JSON lines that carry their landing order (``file_name``, ``pos``): the files
+    split, hold as many rows as their tasks, and need no folder each."""
+    records.select("file_name", "pos", *RAW_FIELDS).write.mode("append").json(path)
+
+
+def scan_json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Rows landed by ``land_json_lines``; a line that is no JSON object stops the scan."""
+    fields = ", ".join(f"{c} string" for c in RAW_FIELDS)
+    return spark.read.schema(f"file_name string, pos bigint, {fields}").option("mode", "FAILFAST").json(path)
 
 
 def write_raw_json(records: DataFrame, path: str, prefix: str, order_col: str,
@@ -46,7 +86,3 @@ def write_raw_json(records: DataFrame, path: str, prefix: str, order_col: str,
         F.to_json(F.transform("_rows", lambda x: x["r"])).alias("value"))
     # The lake is append-only: new files are added next to the old ones.
     out.write.mode("append").partitionBy("file").text(path)
-
-
-def file_order(file_col: str = "file_name", pos_col: str = "pos") -> list[Column]:
-    return [F.col(file_col), F.col(pos_col)]

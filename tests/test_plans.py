@@ -3,9 +3,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from pyspark.sql import functions as F
+from sonora.operators.artists import top_artists_trailing
 from sonora.operators.daily import stg_daily_mood
 from sonora.operators.load import clean_incoming, dedup_events
+from sonora.operators.staging import stg_listening_events
+from sonora.plans.catalog import QUERIES
 from sonora.plans.warehouse import Warehouse
 from sonora.sources.testdata import adapted_events
 from tests.conftest import SF_SMALL
@@ -19,7 +22,43 @@ def executed(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: executed(fn(spark, SF_SMALL)) for name, fn in entry.queries().items() if name not in SKIP}
+    return {name: executed(fn(spark, SF_SMALL)) for name, fn in QUERIES.items() if name not in SKIP}
+
+
+@pytest.fixture(scope="module")
+def built(spark):
+    """Plans of the stored tables' builders, over views that are not stored."""
+    out = {}
+    for keys in ((), ("user_id",)):
+        w = Warehouse(spark, SF_SMALL, keys)
+        raw = w.build_raw()
+        stg = stg_listening_events(raw, keys)
+        features = w.build_features(stg)
+        daily = w.build_daily(stg, features)
+        out |= {(n, keys): executed(df) for n, df in (("raw", raw), ("features", features), ("daily", daily),
+                                                      ("profiles", w.build_profiles(daily, stg)))}
+    return out
+
+
+def test_builders_have_no_nested_loop_and_no_python(built):
+    assert [k for k, p in built.items() if re.search("BroadcastNestedLoopJoin|CartesianProduct|EvalPython|InPandas", p)] == []
+
+
+def test_builders_read_the_events(built):
+    assert [k for k, p in built.items() if "events.parquet" not in p] == []
+
+
+def test_a_nested_loop_join_would_be_seen(spark):
+    w = Warehouse(spark, SF_SMALL)
+    stg = stg_listening_events(w.build_raw(), ())
+    joined = stg.join(w.build_features(stg).withColumnRenamed("track_name", "t"), F.col("track_name") > F.col("t"))
+    assert "BroadcastNestedLoopJoin" in executed(joined) or "CartesianProduct" in executed(joined)
+
+
+def test_trailing_ranking_has_no_window_over_all_counts(spark):
+    w = Warehouse(spark, SF_SMALL, ("user_id",))
+    plan = executed(top_artists_trailing(stg_listening_events(w.build_raw(), ("user_id",)), ("user_id",)))
+    assert "max(played_date" in plan and not re.search(r"Window \[max\(", plan)
 
 
 def test_no_nested_loop_or_cartesian_joins(plans):

@@ -11,7 +11,7 @@ import time
 
 import duckdb
 
-import __spark_entry__ as entry
+from sonora.plans import catalog
 from sonora.session import build_session
 from sonora.sources.testdata import TABLES
 
@@ -45,7 +45,7 @@ def main():
     con.execute("SET TimeZone='UTC'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
-    qs, sqls = entry.queries(), entry.oracle_sql()
+    qs, sqls = catalog.QUERIES, catalog.ORACLES
     bad = 0
     for name in names or list(qs):
         t0 = time.time()
