@@ -87,7 +87,7 @@ def profile_stats(daily: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _attach(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def attach(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add a per-key table's columns.  With keys: a left join on them (both
     sides come out of aggregations on the same keys, so they are already
     co-partitioned).  Without keys the right side is one row and is
@@ -109,7 +109,7 @@ def fingerprint_vector(stats: DataFrame, shares: DataFrame, concentration: DataF
     18 energy x valence; 19 1 - melancholic share / 100.  Without any day
     every dimension is 0.5.
     """
-    j = _attach(_attach(stats, shares, keys), concentration, keys)
+    j = attach(attach(stats, shares, keys), concentration, keys)
     share = {b: F.coalesce(F.col(b), F.lit(0.0)) for b in TIME_OF_DAY_LABELS}
     conc = F.coalesce(F.col("concentration"), F.lit(CONCENTRATION_WHEN_NO_ARTIST))
     dims = [

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from sonora.fixed_values import TIMELINE_DAYS, WEEKLY_DAYS
 from sonora.functions.playtime import date_text
+from sonora.operators.profile import attach
 
 
 def latest_days(daily: DataFrame, n: int, keys: Sequence[str] = ()) -> DataFrame:
@@ -40,14 +41,6 @@ def weekly_mood(daily: DataFrame, keys: Sequence[str] = (), n: int = WEEKLY_DAYS
         "dominant_time_of_day")
 
 
-def _attach(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per-key join, or a scalar subquery when both sides are one row."""
-    if keys:
-        return left.join(right, list(keys), "left")
-    row = right.select(F.struct(*right.columns).alias("_r")).scalar()
-    return left.withColumn("_r", row).select(*left.columns, *[F.col("_r")[c].alias(c) for c in right.columns])
-
-
 def _text(c) -> F.Column:
     """Python-style text of a value (doubles in shortest form, null as None)."""
     return F.coalesce(F.col(c).cast("string"), F.lit("None"))
@@ -75,7 +68,7 @@ def weekly_brief(week: DataFrame, artists: DataFrame, keys: Sequence[str] = ())
                                                       F.col("artist_clean").alias("a"),
                                                       item.alias("t")))).alias("_a"))
             .select(*keys, F.array_join(F.transform("_a", lambda x: x["t"]), ", ").alias("artists_summary")))
-    out = _attach(days, arts, keys)
+    out = attach(days, arts, keys)
     return out.select(
         *keys, "days_summary", F.coalesce("artists_summary", F.lit("")).alias("artists_summary"),
         F.concat(F.lit("Daily mood breakdown:\n"), F.col("days_summary"),
