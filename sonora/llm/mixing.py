@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sonora.llm import words as W
-from sonora.llm.shared import prepare, saved, table
+from sonora.llm.shared import prepare, row_keys, saved, table
 
 WEIGHTS, BUDGET, MOST_COPIES = (3.0, 1.0, 2.0), 1.5, 2
 BLOCK_WORDS, LEAST_BLOCKS, SHARD_BLOCKS, MOST_SHARDS, SEED = 64, 256, 256, 4096, 5
@@ -101,17 +101,10 @@ def _shard_quotas(most_copies: int):
     return quotas
 
 
-def _row_keys(docs: DataFrame, seed: int) -> dict[str, Column]:
-    """Two hashes of a whole row; only rows that are equal share both."""
-    columns = [docs[f"`{c}`"] for c in docs.columns]
-    nulls = F.concat(*(F.when(c.isNull(), "0").otherwise("1") for c in columns))
-    return {f"row_key{k}": F.xxhash64(F.lit(seed), F.lit(k), nulls, *columns) for k in (1, 2)}
-
-
 def placed(docs: DataFrame, budget: float = BUDGET, most_copies: int = MOST_COPIES, weights: tuple[float, ...] = WEIGHTS, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
     """doc_id, row keys, size, source_size, target, and where each document lies in the blocks of its shard."""
     spark = prepare(docs.sparkSession)
-    sized = docs.select("doc_id", "source", *(c.alias(n) for n, c in _row_keys(docs, seed).items()), word_count(F.col("text")).alias("size"))
+    sized = docs.select("doc_id", "source", *(c.alias(n) for n, c in row_keys(docs, seed).items()), word_count(F.col("text")).alias("size"))
     sized = saved(sized, "sizes")
     # One row for each source: as few as the sources that a mix names weights for.
     found = [(r["source"], r["size"]) for r in sized.groupBy("source").agg(F.sum("size").alias("size")).collect()]
@@ -166,7 +159,7 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     """
     names = docs.columns
     places = placed(docs, **params).where("size > 0 and take > 0").select("row_key1", "row_key2", "at", "size", "block", "blocks", "take", "start")
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), *(c.alias(n) for n, c in _row_keys(docs, params.get("seed", SEED)).items()))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), *(c.alias(n) for n, c in row_keys(docs, params.get("seed", SEED)).items()))
     # Equal rows stand for each other: one of them meets the places of all.
     one = rows.withColumn("copy", F.row_number().over(Window.partitionBy("row_key1", "row_key2").orderBy(F.lit(1)))).where("copy = 1").drop("copy")
 

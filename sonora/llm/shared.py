@@ -59,6 +59,14 @@ def saved(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_keys(docs: DataFrame, seed: int) -> dict[str, Column]:
+    """Two hashes of a whole row; only rows that are equal share both. Columns with maps are hashed as JSON."""
+    columns = {c: docs[f"`{c}`"] for c in docs.columns}
+    nulls = F.concat(*(F.when(c.isNull(), "0").otherwise("1") for c in columns.values()))
+    parts = [F.to_json(F.struct(columns[c])) if "map<" in kind else columns[c] for c, kind in docs.dtypes]
+    return {f"row_key{k}": F.xxhash64(F.lit(seed), F.lit(k), nulls, *parts) for k in (1, 2)}
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from sonora.llm import words as W
 from sonora.llm.components import components
-from sonora.llm.shared import prepare, saved, table
+from sonora.llm.shared import prepare, row_keys, saved, table
 
 SHINGLE_WORDS, MAX_BITS, SEED, BITS = 3, 3, 42, 64
 GROUP_LIMIT, FANOUT, FRONTIER = 2048, 8, 1 << 19
@@ -223,9 +223,7 @@ def one_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: i
     """One row of each component: that of the least doc_id (then of the least row hash); the columns of ``docs``."""
     prepare(docs.sparkSession)
     names = docs.columns
-    columns = [docs[f"`{c}`"] for c in names]
-    nulls = F.concat(*(F.when(c.isNull(), "0").otherwise("1") for c in columns))
-    keys = {f"row_key{k}": F.xxhash64(F.lit(k), nulls, *columns) for k in (1, 2)}
+    keys = row_keys(docs, SEED)
     prints = docs.select(F.col("doc_id").alias("id"), *(c.alias(n) for n, c in keys.items()), fingerprint(F.col("text"), shingle_words).alias("print"))
     best = linked(saved(prints, "fingerprints"), max_bits).groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row_key1", "row_key2")).alias("best"))
     best = best.select("best.row_key1", "best.row_key2")

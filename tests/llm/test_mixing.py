@@ -83,3 +83,12 @@ def test_word_counts(texts):
     from sonora.llm import words as W
 
     assert W.count_words(pa.array(texts, pa.string())).tolist() == [len((t or "").encode().split()) for t in texts]
+
+
+def test_columns_of_any_type(spark):
+    from sonora.llm.simhash_dedup import one_of_each
+
+    docs = spark.createDataFrame([(1, "a b c " * 30, "s", {"k": 1}, [1.0]), (2, "d e f " * 30, None, None, None)], "doc_id long, text string, source string, `m.x` map<string,int>, v array<double>")
+    docs = docs.unionByName(docs)
+    assert M.mixed_documents(docs).columns == docs.columns and one_of_each(docs).count() == 2
+    assert {r.doc_id for r in M.mixed_documents(docs, budget=1.0).collect()} == {1, 2}
