@@ -85,32 +85,27 @@ def append_events(existing: DataFrame, table_dir: str, incoming: DataFrame, orde
     rows.write.mode("append").partitionBy("play_date").parquet(table_dir)
 
 
-def load_audit(existing: DataFrame, incoming: DataFrame, order_by: Sequence[str],
-               keys: Sequence[str] = ()) -> DataFrame:
+def load_audit(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """One row: rows before, after, inserted, already present, skipped.
 
-    Every input row is tagged with what it counts towards and the tags are
-    summed in one aggregate over the union (no joins between the counts).
+    The load is read once and reduced to its identities (with how often each
+    arrived; plays without a time share the null second), which are looked
+    up in the table; the counts are sums of flags.
     """
     ident = [*keys, "unix_timestamp"]
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-
-    def tags(is_before, valid, inserted, skipped):
-        return [is_before.alias("b"), valid.alias("v"), inserted.alias("i"), skipped.alias("s")]
-
-    skipped = (with_epoch(incoming).filter(F.col("unix_timestamp").isNull())
-               .select(*tags(zero, zero, zero, one)))
-    staged = dedup_events(clean_incoming(incoming), order_by, keys)
+    seconds = with_epoch(incoming).groupBy(*ident).agg(F.count("*").alias("n"))
     present = existing.select(*ident).distinct().withColumn("_present", F.lit(True))
-    flagged = (staged.join(present, on=ident, how="left")
-               .select(*tags(zero, one, F.when(F.col("_present").isNull(), one).otherwise(zero), zero)))
-    table = existing.select(*tags(one, zero, zero, zero))
-    totals = table.unionByName(flagged).unionByName(skipped).agg(
-        *[F.coalesce(F.sum(c), zero).alias(c) for c in ("b", "v", "i", "s")])
+    timed, known = F.col("unix_timestamp").isNotNull(), F.col("_present").isNotNull()
+    flagged = seconds.join(present, on=ident, how="left").select(
+        zero.alias("b"), F.when(timed & known, one).otherwise(zero).alias("p"),
+        F.when(timed & ~known, one).otherwise(zero).alias("i"), F.when(timed, zero).otherwise(F.col("n")).alias("s"))
+    table = existing.select(one.alias("b"), zero.alias("p"), zero.alias("i"), zero.alias("s"))
+    totals = table.unionByName(flagged).agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in ("b", "p", "i", "s")])
     return totals.select(
         F.col("b").alias("before"),
         (F.col("b") + F.col("i")).alias("after"),
         F.col("i").alias("inserted"),
-        (F.col("v") - F.col("i")).alias("already_present"),
+        F.col("p").alias("already_present"),
         F.col("s").alias("skipped"),
     )
