@@ -49,41 +49,65 @@ def count_words(text: str | None) -> Counter:
     return found
 
 
-def gram_codes(word: str) -> np.ndarray:
-    """The n-grams of a marked word as numbers: up to three code points of 21 bits."""
-    p = np.array([_MARK, *map(ord, word), _MARK], np.int64)
-    out = [p[1:-1] << 42]
-    for n in range(2, LONGEST + 1):
-        code = np.zeros(max(0, len(p) - n + 1), np.int64)
-        for k in range(n):
-            code |= p[k : k + len(code)] << (42 - 21 * k)
-        out.append(code)
-    return np.concatenate(out)
+def gram_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of marked words as numbers, up to three code points of 21 bits, and each one's word; by word."""
+    p = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le"), np.uint32).astype(np.int64)
+    letter = p != _MARK
+    word = np.cumsum(~letter) - 1
+    pair = letter[:-1] | letter[1:]
+    codes = [p[letter] << 42, (p[:-1] << 42 | p[1:] << 21)[pair], (p[:-2] << 42 | p[1:-1] << 21 | p[2:])[letter[1:-1]]]
+    # A mark between two words counts with the word before it as an end, and with the word after it as a start.
+    of = [word[letter], np.where(letter[:-1], word[:-1], word[1:])[pair], word[1:-1][letter[1:-1]]]
+    codes, of = np.concatenate(codes), np.concatenate(of)
+    order = np.argsort(of, kind="stable")
+    return codes[order], of[order]
 
 
 class Grams:
     """Numbers n-grams and remembers the n-grams of words."""
 
     def __init__(self) -> None:
-        self.codes, self.number, self.words = np.zeros(0, np.int64), {}, {}
-
-    def counts(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """The codes of a document's n-grams, and how often each occurs."""
+        self.number, self.words, self.codes = {}, {}, np.zeros(0, np.int64)
+        self.pool, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        codes, of = gram_codes(words)
+        fresh, at = np.unique(codes, return_inverse=True)
+        number = self.number
+        numbers = np.fromiter((number.setdefault(c, len(number)) for c in fresh.tolist()), np.int32, len(fresh))
+        self.pool = np.concatenate([self.pool, numbers[at]])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.bincount(of, minlength=len(words)))])
+        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words))))
+        self.codes = np.fromiter(number, np.int64, len(number))
+
+    def counts(self, docs: list[Counter]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The codes of each document's n-grams, and how often each occurs."""
         if len(self.words) > WORDS_KEPT or len(self.number) > GRAMS_KEPT:
             self.__init__()
-        known, fresh = self.words, [w for w in words if w not in self.words]
-        for w in fresh:
-            number = self.number
-            known[w] = np.array([number.setdefault(c, len(number)) for c in gram_codes(w).tolist()], np.int32)
-        if len(self.number) > len(self.codes):
-            self.codes = np.fromiter(self.number, np.int64, len(self.number))
-        lists = [known[w] for w in words]
-        if not lists:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(x) for x in lists])
-        n = np.bincount(np.concatenate(lists), times, len(self.codes)).astype(np.int64)
-        at = np.flatnonzero(n)
-        return self.codes[at], n[at]
+        fresh = list({w: None for words in docs for w in words if w not in self.words})
+        if fresh:
+            self._learn(fresh)
+        for words in docs:
+            at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+            first, lengths = self.ends[at], self.ends[at + 1] - self.ends[at]
+            places = np.arange(lengths.sum()) + np.repeat(first - (np.cumsum(lengths) - lengths), lengths)
+            times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), lengths)
+            n = np.bincount(self.pool[places], times, len(self.codes)).astype(np.int64)
+            found = np.flatnonzero(n)
+            yield self.codes[found], n[found]
+
+
+def _lots(texts: pa.Array) -> Iterator[list[str | None]]:
+    """The texts, about PIECE characters at a time."""
+    lot, size = [], 0
+    for text in texts:
+        lot.append(text.as_py())
+        size += len(lot[-1] or "")
+        if size >= PIECE:
+            yield lot
+            lot, size = [], 0
+    if lot:
+        yield lot
 
 
 def ranked(codes: np.ndarray, counts: np.ndarray, size: int = PROFILE_SIZE) -> np.ndarray:
@@ -101,8 +125,7 @@ def partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         words: dict[str, Counter] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
             words.setdefault(lang, Counter()).update(count_words(text.as_py()))
-        for lang, found in words.items():
-            codes, counts = grams.counts(found)
+        for lang, (codes, counts) in zip(words, grams.counts(list(words.values()))):
             yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(codes), pa.string()), "gram": codes, "n": counts})
 
 
@@ -149,7 +172,7 @@ def predicted(text: Column, profiles: dict[str, np.ndarray], size: int = PROFILE
     def predict(texts: pa.Array) -> pa.Array:
         if not state:
             state.append(Grams())
-        found = [index.predict(ranked(*state[0].counts(count_words(t.as_py())), size)) for t in texts]
+        found = [index.predict(ranked(*n, size)) for lot in _lots(texts) for n in state[0].counts([count_words(t) for t in lot])]
         return pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["lang", "score"])
 
     return predict(text)
