@@ -71,7 +71,7 @@ def labelled_samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int
     digest = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")), 256)
     plain = F.base64(F.unhex(digest))
     random = drawn.select(F.explode(F.array(digest, plain, F.regexp_replace(plain, "[+/=]", ""), F.upper(F.sha1(digest)))).alias("token"), F.lit(True).alias("random"))
-    found = drawn.select(F.explode(F.concat(F.regexp_extract_all("text", F.lit(PATTERNS["hex"]), F.lit(0)), F.regexp_extract_all("text", F.lit(PATTERNS["access"] .replace("+", "{12,}")), F.lit(0)))).alias("token"), F.lit(True).alias("random"))
+    found = drawn.select(F.explode(F.concat(F.regexp_extract_all("text", F.lit(PATTERNS["hex"]), F.lit(0)), F.regexp_extract_all("text", F.lit(PATTERNS["access"].replace("+", "{12,}")), F.lit(0)))).alias("token"), F.lit(True).alias("random"))
     return ordinary.unionByName(random).unionByName(found)
 
 
