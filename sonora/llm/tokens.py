@@ -6,17 +6,23 @@ into) in dictionaries of bounded size.
 """
 from __future__ import annotations
 
+import json
 from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sonora.llm import words as W
 
 #: Words and pieces remembered before a dictionary is started anew.
-WORDS_KEPT, PIECES_KEPT = 300_000, 200_000
+WORDS_KEPT, PIECES_KEPT = 250_000, 200_000
+#: Words of characters below U+0250 that are no white space: composing changes nothing in them, and lower-casing goes
+#: character by character (all but the dotted capital I).
+_PLAIN = regex.compile("[!-~\u00a1-\u012f\u0131-\u024f]+")
 
 
 def default_tokenizer() -> str:
@@ -26,60 +32,92 @@ def default_tokenizer() -> str:
 
 
 class _Pieces(dict):
+    """The ids of each lower-cased piece; a new piece is tokenized when first asked for."""
+
     def __init__(self, model) -> None:
-        self.model = model
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.model, self.spell = model, ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
 
     def __missing__(self, piece: str) -> list[int]:
-        self[piece] = ids = [t.id for t in self.model.tokenize(piece)]
+        spelled = piece if piece.isascii() else self.spell(piece)[0][0]
+        self[piece] = ids = [t.id for t in self.model.tokenize(spelled)]
         return ids
 
 
+def _splitter(whole) -> regex.Pattern | None:
+    """The pattern whose matches are the pieces of lower-cased plain words (and the line ends between words), if the
+    tokenizer's file says that it works so."""
+    conf = json.loads(whole.to_str())
+    steps = [(s["type"], s.get("content")) for s in (conf["normalizer"] or {}).get("normalizers", [])]
+    cuts = (conf["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if steps != [("NFC", None), ("Replace", " "), ("Lowercase", None)] or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
+        return None
+    split, level = cuts
+    if split["behavior"] != "Removed" or not split["invert"] or level["add_prefix_space"] or level["use_regex"]:
+        return None
+    return regex.compile("\n|" + split["pattern"]["Regex"])
+
+
 class Tokens(dict):
-    """The number of each word; a new word is tokenized when first asked for."""
+    """The number of each word that has been tokenized, and all words' ids end to end."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.whole.get_added_tokens_decoder().values()]
-        self.normalize, self.cut = self.whole.normalizer.normalize_str, self.whole.pre_tokenizer.pre_tokenize_str
-        self.pieces = _Pieces(self.whole.model)
+        self.pieces, self.split = _Pieces(self.whole.model), _splitter(self.whole)
+        self.forget()
+
+    def forget(self) -> None:
+        """Give the memory back."""
+        self.clear()
+        self.pieces.clear()
+        self.pieces["\n"] = []
         self.pool, self.starts, self.lengths = array("I"), array("q"), array("q")
 
-    def __missing__(self, word: bytes) -> int:
-        if any(s in word for s in self.special):
-            ids = self.whole.encode(word.decode(), add_special_tokens=False).ids
-        else:
-            ids = []
-            for piece, _ in self.cut(self.normalize(word.decode())):
-                ids += self.pieces[piece]
-        self.starts.append(len(self.pool))
-        self.lengths.append(len(ids))
+    def _add(self, words: list[bytes], lengths: np.ndarray, ids) -> None:
+        begun = len(self.pool)
         self.pool.extend(ids)
-        self[word] = n = len(self)
-        return n
-
-    def _trim(self) -> None:
-        if len(self) > WORDS_KEPT:
-            self.clear()
-            self.pool, self.starts, self.lengths = array("I"), array("q"), array("q")
-        if len(self.pieces) > PIECES_KEPT:
-            self.pieces.clear()
+        self.starts.frombytes((begun + np.cumsum(lengths) - lengths).astype("q").tobytes())
+        self.lengths.frombytes(lengths.astype("q").tobytes())
+        self.update(zip(words, range(len(self), len(self) + len(words))))
+
+    def _learn(self, words: list[bytes]) -> None:
+        plain = self.split and not any(s in b"\n".join(words) for s in self.special)
+        fast = [w for w in words if _PLAIN.fullmatch(w.decode())] if plain else []
+        if fast:
+            found = self.split.findall(b"\n".join(fast).decode().lower())
+            lists = [self.pieces[p] for p in found]
+            word = np.cumsum(np.fromiter((p == "\n" for p in found), np.int64, len(found)))
+            lengths = np.bincount(word, np.fromiter(map(len, lists), np.int64, len(lists)), len(fast)).astype(np.int64)
+            self._add(fast, lengths, chain.from_iterable(lists))
+        slow = [w for w in words if w not in self]
+        if slow:
+            lists = [e.ids for e in self.whole.encode_batch([w.decode() for w in slow], add_special_tokens=False)]
+            self._add(slow, np.fromiter(map(len, lists), np.int64, len(lists)), chain.from_iterable(lists))
+
+    def _numbers(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > WORDS_KEPT or len(self.pieces) > PIECES_KEPT:
+            self.forget()
+        self._learn(list(set(words).difference(self)))
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
     def counts(self, words: list[bytes]) -> np.ndarray:
         """The number of ids of each word."""
-        self._trim()
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        at = self._numbers(words)
         return np.frombuffer(self.lengths, np.int64)[at] if len(words) else at
 
     def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words in order, and the number of ids of each word."""
-        self._trim()
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        at = self._numbers(words)
         if not len(words):
             return np.zeros(0, np.uint32), at
         lengths = np.frombuffer(self.lengths, np.int64)[at]
         shift = np.frombuffer(self.starts, np.int64)[at] - (np.cumsum(lengths) - lengths)
+        if not lengths.sum():
+            return np.zeros(0, np.uint32), lengths
         return np.frombuffer(self.pool, np.uint32)[np.arange(lengths.sum()) + np.repeat(shift, lengths)], lengths
 
 
