@@ -13,11 +13,17 @@ from pyspark.sql import functions as F
 CODE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Rows of an Arrow batch, where the session has Spark's default: rows of these tables are whole texts.
+BATCH_ROWS = {"10000": "2000"}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver found it.
+    """Let Python workers import this package from where the driver found it, and read texts in smaller batches.
 
     On a cluster whose nodes do not share that folder, pass the package with ``--py-files``.
     """
+    rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS.get(rows, rows))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if CODE_ROOT not in paths:

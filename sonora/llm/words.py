@@ -14,7 +14,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 #: Bytes of text worked on at once; a longer text stands alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 class Vocabulary(dict):
