@@ -126,22 +126,29 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit_logistic(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, n_features: int, ridge: float = 1e-3, steps: int = 80) -> tuple[np.ndarray, float]:
-    """Logistic regression on sparse rows by accelerated gradient descent on scaled features."""
-    at, value = np.concatenate(rows), np.concatenate(values).astype(np.float64)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    scale = np.sqrt(np.bincount(at, value, n_features) / len(rows)) + 1e-3
-    value = value / scale[at]
-    times = lambda w: np.bincount(row, value * w[at], len(rows))
-    back = lambda r: np.bincount(at, value * r[row], n_features)
+def row_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The sum of each row's values; rows lie end to end."""
+    out, some = np.zeros(len(lengths)), lengths > 0
+    if some.any():
+        out[some] = np.add.reduceat(values, (np.cumsum(lengths) - lengths)[some])
+    return out
+
+
+def fit_logistic(at: np.ndarray, value: np.ndarray, lengths: np.ndarray, y: np.ndarray, n_features: int, ridge: float = 1e-3, steps: int = 80) -> tuple[np.ndarray, float]:
+    """Logistic regression on sparse rows, end to end in flat arrays, by accelerated gradient descent on scaled features."""
+    rows = len(lengths)
+    scale = np.sqrt(np.bincount(at, value, n_features) / rows) + 1e-3
+    value = value / scale.astype(np.float32)[at]
+    times = lambda w: row_sums(value * w.astype(np.float32)[at], lengths)
+    back = lambda r: np.bincount(at, value * np.repeat(r.astype(np.float32), lengths), n_features)
     v = np.ones(n_features)
     for _ in range(8):
         v = back(times(v))
         v /= np.linalg.norm(v) or 1.0
-    most = float(np.linalg.norm(back(times(v)))) / len(rows) + 1
+    most = float(np.linalg.norm(back(times(v)))) / rows + 1
     w, bias, ahead, ahead_bias, t = np.zeros(n_features), 0.0, np.zeros(n_features), 0.0, 1.0
     for _ in range(steps):
-        r = (_sigmoid(times(ahead) + ahead_bias) - y) / len(rows)
+        r = (_sigmoid(times(ahead) + ahead_bias) - y) / rows
         step = 1 / (0.25 * most + ridge)
         new, new_bias = ahead - step * (back(r) + ridge * ahead), ahead_bias - step * r.sum()
         t, old = (1 + math.sqrt(1 + 4 * t * t)) / 2, t
@@ -167,6 +174,18 @@ def fit_platt(margin: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float
     return float(theta[0]), float(theta[1])
 
 
+def _flat(column: pa.ChunkedArray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a column of packed numbers, end to end, and how many each row has."""
+    parts, lengths = [np.zeros(0, kind)], [np.zeros(0, np.int64)]
+    for chunk in column.chunks:
+        offsets = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset : chunk.offset + len(chunk) + 1].astype(np.int64)
+        data = chunk.buffers()[2]
+        if len(chunk) and data is not None:
+            parts.append(np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(kind))
+        lengths.append(np.diff(offsets) // np.dtype(kind).itemsize)
+    return np.concatenate(parts), np.concatenate(lengths)
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = SEED) -> Model:
     """Fit on about ``sample_rows`` labelled documents, drawn by a hash of the id (twice as many at most)."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("y"))
@@ -181,16 +200,17 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, se
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "y", "fold")
     got = rows.mapInArrow(features, "y double, fold long, at binary, value binary").limit(2 * sample_rows).toArrow()
     y, fold = got["y"].to_numpy(), got["fold"].to_numpy()
-    at = [np.frombuffer(x, "<i4") for x in got["at"].to_pylist()]
-    value = [np.frombuffer(x, "<f4") for x in got["value"].to_pylist()]
-    fit, held = np.flatnonzero(fold != 0), np.flatnonzero(fold == 0)
-    if len(held) < 20 or len(set(y[held])) < 2:  # too few to hold back
-        fit = held = np.arange(len(y))
+    (at, lengths), value = _flat(got["at"], "<i4"), _flat(got["value"], "<f4")[0]
+    del got
+    fit, held = fold != 0, fold == 0
+    if held.sum() < 20 or len(set(y[held])) < 2:  # too few to hold back
+        fit = held = np.ones(len(y), bool)
     if len(set(y[fit])) < 2:
         return constant
-    weights, bias = fit_logistic([at[k] for k in fit], [value[k] for k in fit], y[fit], n_features)
-    margin = np.array([weights[at[k]] @ value[k] for k in held]) + bias
-    slope, shift = fit_platt(margin, y[held])
+    own = np.repeat(fit, lengths)
+    weights, bias = fit_logistic(at[own], value[own], lengths[fit], y[fit], n_features)
+    margin = row_sums(value * weights.astype(np.float32)[at], lengths) + bias
+    slope, shift = fit_platt(margin[held], y[held])
     return Model(weights.reshape(BLOCKS, -1), bias, slope, shift)
 
 

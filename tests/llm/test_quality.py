@@ -70,9 +70,9 @@ def test_pooling_is_isotonic():
 def test_logistic_separates():
     rng = np.random.default_rng(0)
     y = rng.integers(0, 2, 200).astype(float)
-    rows = [np.array([0, 1 + int(k)], np.int32) for k in y]
-    w, b = R.fit_logistic(rows, [np.array([1.0, 1.0])] * 200, y, 3)
-    margin = np.array([w[r].sum() for r in rows]) + b
+    rows = np.array([[0, 1 + int(k)] for k in y], np.int32)
+    w, b = R.fit_logistic(rows.ravel(), np.ones(400, np.float32), np.full(200, 2), y, 3)
+    margin = w[rows].sum(1) + b
     assert ((margin > 0) == (y > 0)).all()
     assert R.fit_platt(margin, y)[0] > 0
 
