@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from sonora.llm import words as W
 
 #: Words and pieces remembered before a dictionary is started anew.
-WORDS_KEPT, PIECES_KEPT = 250_000, 200_000
+WORDS_KEPT, PIECES_KEPT = 250_000, 250_000
 #: Words of characters below U+0250 that are no white space: composing changes nothing in them, and lower-casing goes
 #: character by character (all but the dotted capital I).
-_PLAIN = regex.compile("[!-~\u00a1-\u012f\u0131-\u024f]+")
+_PLAIN = regex.compile("[\n!-~\u00a1-\u012f\u0131-\u024f]+")
 
 
 def default_tokenizer() -> str:
@@ -39,9 +39,9 @@ class _Pieces(dict):
 
         self.model, self.spell = model, ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
 
-    def __missing__(self, piece: str) -> list[int]:
+    def __missing__(self, piece: str) -> tuple[int, ...]:
         spelled = piece if piece.isascii() else self.spell(piece)[0][0]
-        self[piece] = ids = [t.id for t in self.model.tokenize(spelled)]
+        self[piece] = ids = tuple([t.id for t in self.model.tokenize(spelled)])
         return ids
 
 
@@ -72,11 +72,17 @@ class Tokens(dict):
 
     def forget(self) -> None:
         """Give the memory back."""
+        self._forget_words()
+        self._forget_pieces()
+
+    def _forget_words(self) -> None:
         self.clear()
-        self.pieces.clear()
-        self.pieces["\n"] = []
         self.pool, self.starts, self.lengths = array("I"), array("q"), array("q")
 
+    def _forget_pieces(self) -> None:
+        self.pieces.clear()
+        self.pieces["\n"] = ()
+
     def _add(self, words: list[bytes], lengths: np.ndarray, ids) -> None:
         begun = len(self.pool)
         self.pool.extend(ids)
@@ -85,24 +91,32 @@ class Tokens(dict):
         self.update(zip(words, range(len(self), len(self) + len(words))))
 
     def _learn(self, words: list[bytes]) -> None:
-        plain = self.split and not any(s in b"\n".join(words) for s in self.special)
-        fast = [w for w in words if _PLAIN.fullmatch(w.decode())] if plain else []
+        fast, text = words, b"\n".join(words)
+        if not self.split or any(s in text for s in self.special):
+            fast = []
+        elif words and not _PLAIN.fullmatch(text.decode()):
+            fast = [w for w in words if _PLAIN.fullmatch(w.decode())]
+            text = b"\n".join(fast)
         if fast:
-            found = self.split.findall(b"\n".join(fast).decode().lower())
+            found = self.split.findall(text.decode().lower())
             lists = [self.pieces[p] for p in found]
             word = np.cumsum(np.fromiter((p == "\n" for p in found), np.int64, len(found)))
             lengths = np.bincount(word, np.fromiter(map(len, lists), np.int64, len(lists)), len(fast)).astype(np.int64)
             self._add(fast, lengths, chain.from_iterable(lists))
-        slow = [w for w in words if w not in self]
+        slow = [w for w in words if w not in self] if len(fast) < len(words) else []
         if slow:
             lists = [e.ids for e in self.whole.encode_batch([w.decode() for w in slow], add_special_tokens=False)]
             self._add(slow, np.fromiter(map(len, lists), np.int64, len(lists)), chain.from_iterable(lists))
 
     def _numbers(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > WORDS_KEPT or len(self.pieces) > PIECES_KEPT:
-            self.forget()
-        self._learn(list(set(words).difference(self)))
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if len(self) > WORDS_KEPT:
+            self._forget_words()
+        if len(self.pieces) > PIECES_KEPT:
+            self._forget_pieces()
+        own = dict.fromkeys(words)
+        self._learn([w for w in own if w not in self])
+        own = {w: self[w] for w in own}  # few words, looked up many times
+        return np.fromiter(map(own.__getitem__, words), np.int64, len(words))
 
     def counts(self, words: list[bytes]) -> np.ndarray:
         """The number of ids of each word."""
