@@ -1,15 +1,15 @@
-"""Mixing sources to target weights by Sainte-Laguë apportionment of equal-token blocks.
+"""Mixing sources to target weights by Sainte-Laguë apportionment, taken in equal-token blocks.
 
 Sources, by code point and null last, weigh 3, 1, 2, repeating, and share ``budget`` times all words; a
 target stops at ``most_copies`` times its source's words, and the excess is shared anew by weight among the
 others. Each source's documents are dealt by a seeded hash into shards and laid end to end there in seeded
-order; blocks are runs of ``block_words`` words of that order. Highest quotients give each source, and then
-each shard of a source, an integer quota of blocks. A shard takes all its blocks ``quota div blocks`` times,
-and the rest of its quota once more by systematic selection from a seeded start, so that how many words of
-a document are taken follows from two prefix sums, without listing blocks.
+order; blocks are runs of ``block_words`` words of that order, in every source. Highest quotients give each
+source, and then each shard of a source, an integer quota of words. A shard takes all its words ``quota div
+words`` times, and the rest of its quota once more in blocks by systematic selection from a seeded start, so
+that how many words of a document are taken follows from two prefix sums, without listing blocks.
 
-``block_words`` shrinks when the smallest source would have fewer than ``least_blocks`` blocks, so that a
-small source comes near its target too.
+A rest is as many blocks as hold it, and what they hold beyond it is cut off their end: a source of any size
+meets its target to the word, and no source changes how another's documents are cut.
 
 Defined cases: a null text has no words; a document without words is taken 0 times. Repeated rows are taken
 each on its own. A null source is a source, last; a null doc_id is dealt like a value. If no document has
@@ -27,7 +27,7 @@ from sonora.llm import words as W
 from sonora.llm.shared import prepare, row_keys, saved, table
 
 WEIGHTS, BUDGET, MOST_COPIES = (3.0, 1.0, 2.0), 1.5, 2
-BLOCK_WORDS, LEAST_BLOCKS, SHARD_BLOCKS, MOST_SHARDS, SEED = 64, 256, 256, 4096, 5
+BLOCK_WORDS, SHARD_BLOCKS, MOST_SHARDS, SEED = 64, 256, 4096, 5
 
 
 def word_count(text: Column) -> Column:
@@ -78,25 +78,35 @@ def targets(sources: pd.DataFrame, budget: float, most_copies: int, weights: tup
 
 
 def plan_sources(sources: pd.DataFrame, budget=BUDGET, most_copies=MOST_COPIES, weights=WEIGHTS, block_words=BLOCK_WORDS) -> pd.DataFrame:
-    """Targets, block size, shards and quota of each source; one row for each source in and out."""
+    """Targets, shards and quota of words of each source; one row for each source in and out."""
     sources = sources.iloc[sorted(range(len(sources)), key=lambda k: (sources["source"][k] is None, sources["source"][k] or ""))].reset_index(drop=True)
     sources["target"] = targets(sources, budget, most_copies, weights)
     sizes = sources["size"].to_numpy(np.int64)
-    block = max(1, int(sizes[sizes > 0].min(initial=block_words * LEAST_BLOCKS)) // LEAST_BLOCKS)
-    sources["block"] = block
-    sources["shards"] = np.clip(sizes // (block * SHARD_BLOCKS), 1, MOST_SHARDS)
-    sources["quota"] = sainte_lague(sources["target"].to_numpy(), round(float(sources["target"].sum()) / block), most_copies * -(-sizes // block))
+    sources["shards"] = np.clip(sizes // (block_words * SHARD_BLOCKS), 1, MOST_SHARDS)
+    sources["quota"] = sainte_lague(sources["target"].to_numpy(), round(float(sources["target"].sum())), most_copies * sizes)
     return sources
 
 
-def _shard_quotas(most_copies: int):
+def _once_more(x, block, blocks, extra, start):
+    """Words of a shard's first ``x`` words that lie in the blocks of :data:`_ONCE_MORE`."""
+    before, after = ((x // block + start + k) * extra // blocks - start * extra // blocks for k in (0, 1))
+    return before * block + (after - before) * (x % block)
+
+
+def _shard_quotas(most_copies: int, block: int):
     def quotas(group: pd.DataFrame) -> pd.DataFrame:
         """Of one source's shards, MOST_SHARDS at most."""
         group = group.sort_values("shard", ignore_index=True)
-        blocks = -(-group["words"].to_numpy(np.int64) // group["block"].to_numpy(np.int64))
-        group["take"] = sainte_lague(group["words"].to_numpy(), int(group["quota"].iloc[0]), most_copies * blocks)
-        group["blocks"] = np.maximum(1, blocks)
-        return group[["number", "shard", "blocks", "take"]]
+        words = group["words"].to_numpy(np.int64)
+        quota = sainte_lague(words, int(group["quota"].iloc[0]), most_copies * words)
+        blocks = np.maximum(1, -(-words // block))
+        group["blocks"], group["start"] = blocks, group["seeded"].to_numpy(np.int64) % blocks
+        group["copies"], group["once"] = quota // np.maximum(1, words), quota % np.maximum(1, words)
+        extra = -(-group["once"].to_numpy() // block)
+        # One block more where the shard's short last block is among the selected and they hold too little.
+        extra += _once_more(words, block, blocks, extra, group["start"].to_numpy()) < group["once"].to_numpy()
+        group["extra"] = extra
+        return group[["number", "shard", "blocks", "start", "copies", "extra", "once"]]
 
     return quotas
 
@@ -109,26 +119,26 @@ def placed(docs: DataFrame, budget: float = BUDGET, most_copies: int = MOST_COPI
     # One row for each source: as few as the sources that a mix names weights for.
     found = [(r["source"], r["size"]) for r in sized.groupBy("source").agg(F.sum("size").alias("size")).collect()]
     plan = plan_sources(pd.DataFrame(found, columns=["source", "size"]), budget, most_copies, weights, block_words)
-    kinds = "number int, source string, source_size long, target double, block long, shards long, quota long"
-    sources = spark.createDataFrame([(k, s if isinstance(s, str) else None, *(x.item() for x in rest)) for k, (s, *rest) in enumerate(zip(plan["source"], *(plan[c].to_numpy() for c in ("size", "target", "block", "shards", "quota"))))], kinds)
-    rows = sized.alias("d").join(F.broadcast(sources.alias("s")), F.expr("d.source <=> s.source")).select("d.doc_id", "d.row_key1", "d.row_key2", "d.size", "s.number", *(f"s.{c}" for c in ("source_size", "target", "block", "shards", "quota")))
+    kinds = "number int, source string, source_size long, target double, shards long, quota long"
+    sources = spark.createDataFrame([(k, s if isinstance(s, str) else None, *(x.item() for x in rest)) for k, (s, *rest) in enumerate(zip(plan["source"], *(plan[c].to_numpy() for c in ("size", "target", "shards", "quota"))))], kinds)
+    rows = sized.alias("d").join(F.broadcast(sources.alias("s")), F.expr("d.source <=> s.source")).select("d.doc_id", "d.row_key1", "d.row_key2", "d.size", "s.number", *(f"s.{c}" for c in ("source_size", "target", "shards", "quota")), F.lit(block_words).cast("long").alias("block"))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "row_key1"), "shards"))
-    shards = rows.groupBy("number", "shard", "block", "quota").agg(F.sum("size").alias("words"))
-    quotas = shards.groupBy("number").applyInPandas(_shard_quotas(most_copies), "number int, shard long, blocks long, take long")
+    shards = rows.groupBy("number", "shard", "quota").agg(F.sum("size").alias("words")).withColumn("seeded", F.xxhash64(F.lit(seed), "number", "shard"))
+    quotas = shards.groupBy("number").applyInPandas(_shard_quotas(most_copies, block_words), "number int, shard long, blocks long, start long, copies long, extra long, once long")
     before = Window.partitionBy("number", "shard").orderBy("row_key1", "row_key2", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("at", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    return rows.join(quotas, ["number", "shard"]).withColumn("start", F.pmod(F.xxhash64(F.lit(seed), "number", "shard"), "blocks"))
+    return rows.join(quotas, ["number", "shard"])
 
 
 #: Words of a shard's first `x` words that lie in blocks taken once more: block j is taken if
-#: (j + start + 1) * extra div blocks exceeds (j + start) * extra div blocks, with extra = take % blocks.
-_ONCE_MORE = """(((({x}) div block + start) * (take % blocks)) div blocks - (start * (take % blocks)) div blocks) * block
-    + (((({x}) div block + start + 1) * (take % blocks)) div blocks - ((({x}) div block + start) * (take % blocks)) div blocks) * (({x}) % block)"""
+#: (j + start + 1) * extra div blocks exceeds (j + start) * extra div blocks. Of these words the first `once` count.
+_ONCE_MORE = """least(once, (((({x}) div block + start) * extra) div blocks - (start * extra) div blocks) * block
+    + (((({x}) div block + start + 1) * extra) div blocks - ((({x}) div block + start) * extra) div blocks) * (({x}) % block))"""
 
 
 def taken(rows: DataFrame) -> DataFrame:
     """The words taken of each document: whole copies, and those in blocks taken once more."""
-    return rows.withColumn("taken", F.expr(f"(take div blocks) * size + ({_ONCE_MORE.format(x='at + size')}) - ({_ONCE_MORE.format(x='at')})"))
+    return rows.withColumn("taken", F.expr(f"copies * size + {_ONCE_MORE.format(x='at + size')} - {_ONCE_MORE.format(x='at')}"))
 
 
 def mix(docs: DataFrame, **params) -> DataFrame:
@@ -136,19 +146,30 @@ def mix(docs: DataFrame, **params) -> DataFrame:
     return taken(placed(docs, **params)).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def _copies(text: str, at: int, size: int, block: int, blocks: int, take: int, start: int) -> list[str]:
-    """A document's whole copies, and the words of its blocks that are taken once more."""
+#: What :func:`_copies` takes after a document's place and size.
+PLACE = ("block", "blocks", "take", "start", "extra", "once")
+
+
+def _copies(text: str, at: int, size: int, block: int, blocks: int, take: int, start: int, extra: int | None = None, once: int | None = None) -> list[str]:
+    """A document's whole copies, and the words of its blocks that are taken once more.
+
+    ``take`` counts blocks, ``extra`` of them taken once more (the rest of whole copies where not given), of
+    whose words the first ``once`` in the shard count (all where not given).
+    """
     if not size:
         return []
-    out, extra = [text] * (take // blocks), take % blocks
+    extra = take % blocks if extra is None else extra
+    out = [text] * ((take - extra) // blocks)
     if extra:
         j = np.arange(at // block, (at + size - 1) // block + 1)
         chosen = j[(j + start + 1) * extra // blocks > (j + start) * extra // blocks]
-        if len(chosen) == len(j):
+        left = size if once is None else max(0, once - _once_more(at, block, blocks, extra, start))
+        if len(chosen) == len(j) and left >= size:
             out.append(text)
-        elif len(chosen):
+        elif len(chosen) and left:
             words = text.encode().split()
-            out.append(b" ".join(w for k in chosen.tolist() for w in words[max(0, k * block - at) : (k + 1) * block - at]).decode())
+            part = [w for k in chosen.tolist() for w in words[max(0, k * block - at) : (k + 1) * block - at]]
+            out.append(b" ".join(part[:left]).decode())
     return out
 
 
@@ -158,8 +179,8 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     A whole copy keeps its text as it is; a partial copy is the words of its blocks, joined by one space.
     """
     names = docs.columns
-    places = placed(docs, **params).where("size > 0 and take > 0").select("row_key1", "row_key2", "at", "size", "block", "blocks", "take", "start")
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), *(c.alias(n) for n, c in row_keys(docs, params.get("seed", SEED)).items()))
+    places = placed(docs, **params).withColumn("take", F.expr("copies * blocks + extra")).where("size > 0 and take > 0").select("row_key1", "row_key2", "at", "size", *PLACE)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names if c != "text")).alias("row"), "text", *(c.alias(n) for n, c in row_keys(docs, params.get("seed", SEED)).items()))
     # Equal rows stand for each other: one of them meets the places of all.
     one = rows.withColumn("copy", F.row_number().over(Window.partitionBy("row_key1", "row_key2").orderBy(F.lit(1)))).where("copy = 1").drop("copy")
 
@@ -168,7 +189,7 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
         place = zip(*(p.to_pylist() for p in place))
         return pa.array([_copies(t.as_py(), *p) for t, p in zip(texts, place)], pa.list_(pa.string()))
 
-    cut = copies(F.col("row.text"), *(F.col(c) for c in ("at", "size", "block", "blocks", "take", "start")))
+    cut = copies("text", "at", "size", *PLACE)
     cut = one.join(places, ["row_key1", "row_key2"]).select("row", F.explode(cut).alias("text"))
     return cut.select(*(F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in names))
 

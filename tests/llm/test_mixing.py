@@ -70,6 +70,43 @@ def test_partial_copies_are_the_documents_words():
         assert [t.split() for t in got] == [text.split()] * (take // blocks) + ([part] if part else [])
 
 
+def test_a_small_source_changes_no_other_sources_blocks(spark):
+    text = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n))
+    big = [(k, text(k, n + k % 7), s) for k in range(240) for s, n in (("b", 150), ("c", 190))]
+    docs = lambda small: spark.createDataFrame(big + [(900, text(900, small), "a")], "doc_id long, text string, source string")
+    for small in (5, 37, 300):
+        places = M.placed(docs(small)).collect()
+        assert {r.block for r in places} == {M.BLOCK_WORDS}
+        target, got, whole = {}, {}, {(k, s): t.split() for k, t, s in big + [(900, text(900, small), "a")]}
+        for r in M.mix(docs(small)).collect():
+            target[r.source_size] = r.target
+            got[r.source_size] = got.get(r.source_size, 0) + r.taken
+        assert all(abs(got[s] - target[s]) <= 1 for s in target)
+        cut = {}
+        for r in M.mixed_documents(docs(small)).collect():
+            words, all_words = r.text.split(), whole[r.doc_id, r.source]
+            cut[r.source] = cut.get(r.source, 0) + len(words)
+            at = [all_words.index(w) for w in words]
+            assert at == sorted(set(at))
+            # Runs begin and end with a block, the document, or the one cut of their shard.
+            assert sum(b != a + 1 for a, b in zip(at, at[1:])) <= len(all_words) // M.BLOCK_WORDS + 1
+        sizes = {s: sum(len(w) for (_, t), w in whole.items() if t == s) for s in "abc"}
+        expected = dict(zip("abc", M.targets(pd.DataFrame({"size": list(sizes.values())}), 1.5, 2, M.WEIGHTS)))
+        assert all(abs(cut[s] - expected[s]) <= 1 for s in "abc")
+
+
+def test_quotas_of_shards_are_met_to_the_word():
+    rng = np.random.default_rng(1)
+    for words in [1, 5, 63, 64, 65, 100, 129, 640, 1000]:
+        for quota in {0, 1, words - 1, words, words + 1, 2 * words, *rng.integers(0, 2 * words + 1, 5).tolist()}:
+            group = pd.DataFrame({"number": [0], "shard": [0], "quota": [quota], "words": [words], "seeded": [int(rng.integers(-(1 << 60), 1 << 60))]})
+            q = M._shard_quotas(2, 64)(group).iloc[0]
+            take = int(q.copies * q.blocks + q.extra)
+            ends = [0, *sorted(rng.integers(0, words + 1, 3).tolist()), words]
+            got = [M._copies(" ".join(f"w{i}" for i in range(a, b)), a, b - a, 64, int(q.blocks), take, int(q.start), int(q.extra), int(q.once)) for a, b in zip(ends, ends[1:])]
+            assert sum(len(t.split()) for ts in got for t in ts) == quota
+
+
 def test_no_words(spark, no_docs):
     assert M.mix(no_docs).count() == 0 and M.mixed_documents(no_docs).count() == 0
     docs = spark.createDataFrame([(1, None, None), (2, "", "a")], "doc_id long, text string, source string")
