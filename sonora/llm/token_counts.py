@@ -76,12 +76,16 @@ def counted(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents are inserted, a tenth is deleted, another tenth is recounted with an end id; each batch is sent twice."""
+    """All documents are inserted, a tenth is deleted, another tenth is recounted with an end id, and both come back; each batch is sent twice.
+
+    So the committed rollup ends on the whole table's counts under one tokenizer version.
+    """
     rows = saved(counted(table(spark, sf_dir, "documents")), "counted")
     tenth = F.coalesce(remainder(F.col("doc_id"), 10), F.lit(0))
     first = rows.withColumn("tokenizer_version", F.lit("word_bpe_49k"))
     second = rows.withColumns({"tokenizer_version": F.lit("word_bpe_49k+end"), "n_tokens": F.col("n_tokens") + 1})
     batches = {"1-load": inserts(first), "2-deleted": deletes(first.where(tenth == 3)), "3-revised": revisions(first.where(tenth == 7), second.where(tenth == 7))}
+    batches |= {"4-restored": inserts(first.where(tenth == 3)), "5-revised-back": revisions(second.where(tenth == 7), first.where(tenth == 7))}
     rollup = Rollup(spark, fresh_path(spark, "rollup"))
     for name, changes in [*batches.items(), *batches.items()]:
         rollup.commit(name, changes)

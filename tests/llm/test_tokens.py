@@ -86,6 +86,15 @@ def test_rollup_follows_changes(spark, docs, rows, whole):
     assert rollup.commit("4", T.inserts(counted.where("false"))) and not rollup.commit("4", T.inserts(counted))
 
 
+def test_op8_counts_the_whole_table(spark, sf001, whole):
+    expected = {}
+    for r in spark.read.parquet(f"{sf001}/documents.parquet").collect():
+        n, t = expected.get((r.source, r.lang, "word_bpe_49k"), (0, 0))
+        expected[r.source, r.lang, "word_bpe_49k"] = (n + 1, t + len(whole(r.text)))
+    got = {(r.source, r.lang, r.tokenizer_version): (r.n_docs, r.n_tokens) for r in T.op8_token_counts(spark, sf001).collect()}
+    assert got == expected
+
+
 def test_broken_batch_is_written_again(spark, docs, rows, whole):
     counted = T.counted(docs).withColumn("tokenizer_version", F.lit("v1"))
     rollup = T.Rollup(spark, fresh_path(spark, "test-rollup"))
