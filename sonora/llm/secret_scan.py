@@ -3,8 +3,8 @@
 Three kinds are found by pattern: assignments to a secret's name, access keys, and long hexadecimal runs. The
 kind ``markov`` is found by two first-order character models, of random strings and of ordinary identifiers:
 a long run of token characters is reported when its log-likelihood ratio reaches ``LEAST_RATIO``. The models
-are counted from labelled samples, by default drawn from a bounded, documented number of documents: their
-words are ordinary, digests of their ids are random, and so are the values that the fixed patterns find.
+are counted from labelled samples, by default of all documents: their words are ordinary, digests of their
+distinct ids are random, and so are the values that the fixed patterns find.
 
 A span is ``kind:start:end`` in code points, the end exclusive. Spans are sorted by start, then in the order of
 the kinds. Patterns match leftmost and do not overlap within a kind; spans of different kinds may.
@@ -31,8 +31,8 @@ PATTERNS = {
     "markov": r"[A-Za-z0-9+/_=-]{20,}",
 }
 LEAST_ASSIGNED, LEAST_ACCESS = 8, 16
-#: Documents whose words train the model of ordinary identifiers, the alphabet's size, and the least ratio in nats.
-SAMPLE_DOCS, ALPHABET, LEAST_RATIO, SEED = 1000, 67, 10.0, 3
+#: The alphabet's size and the least ratio in nats.
+ALPHABET, LEAST_RATIO, SEED = 67, 10.0, 3
 MASK = "[SECRET]"
 #: Values that one running total adds up before totals of blocks take over.
 _BLOCK = 128
@@ -63,27 +63,29 @@ def _codes(token: Column) -> Column:
     return F.transform(F.split(token, ""), F.ascii)
 
 
-def labelled_samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = SEED) -> DataFrame:
-    """``token`` and ``random``: words, digests and pattern matches of about ``sample_docs`` documents drawn by a hash of the id."""
-    n = docs.count()
-    drawn = docs.where(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 20)) < math.ceil((1 << 20) * min(1.0, sample_docs / max(1, n)))).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ordinary = drawn.select(F.explode(F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z+/_=-]{4,}(?![A-Za-z0-9+/_=-])"), F.lit(0))).alias("token"), F.lit(False).alias("random"))
+def labelled_samples(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """``token`` and ``random``: words and pattern matches of all documents, and digests of each distinct id."""
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    ordinary = texts.select(F.explode(F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z+/_=-]{4,}(?![A-Za-z0-9+/_=-])"), F.lit(0))).alias("token"), F.lit(False).alias("random"))
     digest = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")), 256)
     plain = F.base64(F.unhex(digest))
-    random = drawn.select(F.explode(F.array(digest, plain, F.regexp_replace(plain, "[+/=]", ""), F.upper(F.sha1(digest)))).alias("token"), F.lit(True).alias("random"))
-    found = drawn.select(F.explode(F.concat(F.regexp_extract_all("text", F.lit(PATTERNS["hex"]), F.lit(0)), F.regexp_extract_all("text", F.lit(PATTERNS["access"].replace("+", "{12,}")), F.lit(0)))).alias("token"), F.lit(True).alias("random"))
+    random = docs.select("doc_id").distinct().select(F.explode(F.array(digest, plain, F.regexp_replace(plain, "[+/=]", ""), F.upper(F.sha1(digest)))).alias("token"), F.lit(True).alias("random"))
+    found = texts.select(F.explode(F.concat(F.regexp_extract_all("text", F.lit(PATTERNS["hex"]), F.lit(0)), F.regexp_extract_all("text", F.lit(PATTERNS["access"].replace("+", "{12,}")), F.lit(0)))).alias("token"), F.lit(True).alias("random"))
     return ordinary.unionByName(random).unionByName(found)
 
 
 def train(samples: DataFrame) -> Column | None:
     """The log ratio of each pair of characters (128 x first + second) as an array literal; None without samples.
 
-    The driver gets at most two counts for each pair of the alphabet's characters.
+    Pairs are counted as they are read, before any shuffle. The driver gets at most two counts for each pair of
+    the alphabet's characters.
     """
-    c = samples.select("random", _codes(F.col("token")).alias("c")).where(F.size("c") > 1)
-    pairs = c.select("random", F.explode(F.zip_with(F.slice("c", F.lit(1), F.size("c") - 1), F.slice("c", F.lit(2), F.size("c") - 1), lambda a, b: a * 128 + b)).alias("pair"))
+    c = samples.where(F.char_length("token") > 1)
+    pairs = c.select("random", F.explode(F.transform(F.sequence(F.lit(1), F.char_length("token") - 1), lambda i: F.substr("token", i, F.lit(2)))).alias("two"))
+    code = lambda at: F.ascii(F.substr("two", F.lit(at), F.lit(1)))
+    pairs = pairs.groupBy("random", "two").count().where((code(1) < 128) & (code(2) < 128)).select("random", (code(1) * 128 + code(2)).alias("pair"), "count")
     counts: dict[bool, dict[int, int]] = {False: {}, True: {}}
-    for random, pair, n in pairs.where("pair between 0 and 16383").groupBy("random", "pair").count().collect():
+    for random, pair, n in pairs.collect():
         counts[random][pair] = n
     if not counts[True] or not counts[False]:
         return None

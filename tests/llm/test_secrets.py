@@ -91,6 +91,14 @@ def test_running_totals(spark):
     assert [r.s for r in got] == [list(itertools.accumulate(v)) for v in values]
 
 
+def test_all_documents_train_the_model(spark):
+    rows = [(k % 1500, f"rare{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}zq word") for k in range(3000)] + [(None, "ofnoid")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    samples = S.labelled_samples(docs).collect()
+    assert Counter(r.token for r in samples if not r.random) == Counter(w for _, t in rows for w in t.split())
+    assert sum(r.random for r in samples) == 4 * 1501
+
+
 def test_no_python_on_the_main_path(docs, samples):
     plan = S.masked(S.secret_scan(docs, S.train(samples)).drop("secrets"), None)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
