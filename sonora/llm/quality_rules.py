@@ -186,8 +186,16 @@ def _flat(column: pa.ChunkedArray, kind: str) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.concatenate(lengths)
 
 
+def one_text_each(rows: DataFrame) -> DataFrame:
+    """One row for each id, its label and fold, with the least of its texts: a minimum that combines before the shuffle."""
+    return rows.groupBy("doc_id", "y", "fold").agg(F.min("text").alias("text"))
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = SEED) -> Model:
-    """Fit on about ``sample_rows`` labelled documents, drawn by a hash of the id (twice as many at most)."""
+    """Fit on about ``sample_rows`` labelled documents, drawn by a hash of the id (twice as many at most).
+
+    Rows of one id count once, with their least text.
+    """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("y"))
     stat = known.agg(F.count("*").alias("n"), F.avg("y").alias("share")).first()
     n_features = BLOCKS << BITS
@@ -197,8 +205,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, se
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 20))
     sample = known.where(draw < math.ceil((1 << 20) * min(1.0, sample_rows / stat["n"]))).limit(2 * sample_rows)
     sample = sample.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(4)))
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "y", "fold")
-    got = rows.mapInArrow(features, "y double, fold long, at binary, value binary").limit(2 * sample_rows).toArrow()
+    rows = one_text_each(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")).select("text", "y", "fold")
+    got = rows.mapInArrow(features, "y double, fold long, at binary, value binary").toArrow()
     y, fold = got["y"].to_numpy(), got["fold"].to_numpy()
     (at, lengths), value = _flat(got["at"], "<i4"), _flat(got["value"], "<f4")[0]
     del got

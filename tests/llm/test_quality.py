@@ -39,6 +39,16 @@ def test_rules_without_labels_or_rows(docs, no_docs, no_labels, labels):
     assert R.quality_rules(no_docs.select("doc_id", "text"), R.train(no_docs, labels)).count() == 0
 
 
+def test_repeated_rows_do_not_fill_the_sample(spark):
+    texts = [f"good clean words number w{k} " * 15 if k % 2 else f"### bad $$$ junk {k} " * 15 for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    docs = lambda times: spark.createDataFrame([(k, t) for k, t in enumerate(texts) for _ in range(times if k == 7 else 1)], "doc_id long, text string").repartition(3)
+    once, often = (R.train(docs(times), labels, sample_rows=60) for times in (1, 400))
+    assert np.allclose(once.weights, often.weights) and np.isclose(once.bias, often.bias) and np.isclose(once.slope, often.slope)
+    rows = spark.createDataFrame([(1, 1.0, 0, "b"), (1, 1.0, 0, "a"), (1, 1.0, 0, None), (2, 0.0, 1, None)], "doc_id long, y double, fold long, text string")
+    assert sorted((r.doc_id, r.text) for r in R.one_text_each(rows).collect()) == [(1, "a"), (2, None)]
+
+
 def test_rules_keep_clashing_columns(docs, labels):
     out = R.quality_rules(docs, R.train(docs, labels, sample_rows=500), into="verdict")
     assert out.columns == [*docs.columns, "verdict"] and out.where("kept = 'y'").count() == docs.count()
