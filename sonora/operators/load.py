@@ -65,23 +65,36 @@ def play_date(epoch: str = "unix_timestamp") -> Column:
     return F.timestamp_seconds(epoch).cast("date")
 
 
+def on_days_of(table: DataFrame, staged: DataFrame) -> DataFrame:
+    """The rows of ``table`` (partitioned by ``play_date``) on the days of ``staged``.
+
+    Dynamic partition pruning by the set of days: only their partitions are scanned, so a stray date costs its own
+    partition and not the history up to it.  The broadcast side has one row for each day.
+    """
+    days = staged.groupBy("play_date").agg(F.count("*").alias("n")).where("n > 0").select("play_date")
+    return table.join(F.broadcast(days), "play_date", "left_semi")
+
+
 def fresh_events(existing: DataFrame, incoming: DataFrame, order_by: Sequence[str],
                  keys: Sequence[str] = ()) -> DataFrame:
-    """Rows of a load that the table (partitioned by ``play_date``) lacks.
-    Only the partitions between the load's first and last day are read."""
-    clean = clean_incoming(incoming)
-    days = clean.select(play_date().alias("d"))
-    first, last = days.agg(F.min("d")).scalar(), days.agg(F.max("d")).scalar()
-    near = existing.filter((F.col("play_date") >= first) & (F.col("play_date") <= last))
-    return new_events(dedup_events(clean, order_by, keys), near, keys)
+    """Rows of a load, with their ``play_date``, that the table (partitioned by it) lacks; only the load's days are read."""
+    staged = dedup_events(clean_incoming(incoming), order_by, keys).withColumn("play_date", play_date())
+    return new_events(staged, on_days_of(existing, staged), keys)
 
 
 def append_events(existing: DataFrame, table_dir: str, incoming: DataFrame, order_by: Sequence[str],
                   keys: Sequence[str] = (), loaded_at: Column | None = None) -> None:
-    """Append a load to the table at ``table_dir``; loading the same rows again appends nothing."""
+    """Append a load to the table at ``table_dir``; loading the same rows again appends nothing.
+
+    The load's first landings are written beside the table once; the days, the look-up and the append read that.
+    """
     stamp = loaded_at if loaded_at is not None else F.current_timestamp().cast("timestamp_ntz")
-    rows = fresh_events(existing, incoming, order_by, keys)
-    rows = rows.select(*keys, *RAW_COLUMNS, stamp.alias("loaded_at"), play_date().alias("play_date"))
+    staged = dedup_events(clean_incoming(incoming), order_by, keys).withColumn("play_date", play_date())
+    staged_dir = f"{table_dir.rstrip('/')}-staged"
+    staged.write.mode("overwrite").parquet(staged_dir)
+    staged = existing.sparkSession.read.schema(staged.schema).parquet(staged_dir)
+    rows = new_events(staged, on_days_of(existing, staged), keys)
+    rows = rows.select(*keys, *RAW_COLUMNS, stamp.alias("loaded_at"), "play_date")
     rows.write.mode("append").partitionBy("play_date").parquet(table_dir)
 
 
