@@ -41,12 +41,13 @@ def dominant_mood(prefix: str = "", suffix: str = "_count") -> Column:
     return largest({m: F.col(f"{prefix}{m}{suffix}") for m in MOOD_LABELS})
 
 
-def stg_daily_mood(stg: DataFrame, features: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """One row per (keys, day) over feature-joined plays.
+SUMS = (["total_plays"] + [f"{kind}_{c}" for c, _ in AVERAGED for kind in ("s", "c")]
+        + [f"{m}_count" for m in MOOD_LABELS] + [f"tod_{b}" for b in TIME_OF_DAY_LABELS])
+
 
-    total_plays, rounded averages of energy / valence / tempo /
-    danceability, one count per mood label, the most frequent time of day,
-    the dominant mood and the share of four moods.
+def daily_sums(stg: DataFrame, features: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Per (keys, day): the sums and counts (``SUMS``) of the feature-joined plays.  They add up: those of two
+    disjoint sets of plays give those of their union.
 
     Plan: plays are first counted per (keys, day, track, time of day) --
     map-side combined, so a hot track or listener is reduced before any
@@ -67,9 +68,21 @@ def stg_daily_mood(stg: DataFrame, features: DataFrame, keys: Sequence[str] = ()
     aggs += [F.sum(n * F.col(f"n_{m}")).alias(f"{m}_count") for m in MOOD_LABELS]
     aggs += [F.sum(F.when(F.col("time_of_day") == b, w).otherwise(0)).alias(f"tod_{b}")
              for b in TIME_OF_DAY_LABELS]
-    g = j.groupBy(*keys, "played_date").agg(*aggs)
+    return j.groupBy(*keys, "played_date").agg(*aggs)
+
+
+def stg_daily_mood(stg: DataFrame, features: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One row per (keys, day) over feature-joined plays: see ``daily_mood``."""
+    return daily_mood(daily_sums(stg, features, keys), keys)
+
+
+def daily_mood(sums: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """From the sums of each (keys, day): total_plays, rounded averages of
+    energy / valence / tempo / danceability, one count per mood label, the
+    most frequent time of day, the dominant mood and the share of four moods.
+    """
     total = F.col("total_plays")
-    return g.select(
+    return sums.select(
         *keys,
         "played_date",
         "total_plays",

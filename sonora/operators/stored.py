@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from sonora.functions.text import normalize_text
+from sonora.operators.daily import SUMS, daily_mood, daily_sums
 from sonora.operators.features import build_track_features, new_tracks
 from sonora.operators.load import RAW_COLUMNS, dedup_events, new_events, on_days_of, play_date, with_epoch
 from sonora.operators.upsert import upsert
@@ -125,6 +126,55 @@ class PlayTable:
         return self.spark.createDataFrame([(before, before + inserted, inserted, present, skipped)], "before bigint, after bigint, inserted bigint, already_present bigint, skipped bigint")
 
 
+class DailyTable:
+    """``stg_daily_mood`` under ``path``, kept as additive sums in one partition for each day.
+
+    ``add`` rolls up the plays of one load only, adds the sums to those of the load's days and replaces these days'
+    partitions; other days are neither read nor written.  Each row remembers the last load in it, so a load that is
+    added again, or whose replacement broke off half way, counts once.  Loads are added in their order.  ``refresh``
+    rolls some days up anew, for features that came later than the plays.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = ()) -> None:
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), tuple(keys)
+        sums = [f"{c} {'double' if c.startswith('s_') else 'bigint'}" for c in SUMS]
+        self.schema = ", ".join([*(f"{k} bigint" for k in self.keys), "played_date timestamp", *sums, "last_load bigint", "play_date date"])
+
+    def stored(self) -> DataFrame:
+        return read_if_there(self.spark, f"{self.path}/days", self.schema)
+
+    def rows(self) -> DataFrame:
+        """The daily moods of all loads so far."""
+        return daily_mood(self.stored(), self.keys)
+
+    def _written(self, sums: DataFrame, name: str) -> DataFrame:
+        columns = self.stored().columns
+        sums.select(*columns).write.mode("overwrite").parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{name}").select(*columns)
+
+    def _replace(self, days: DataFrame) -> None:
+        ready = self._written(days, "next")
+        (ready.repartition("play_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("play_date").parquet(f"{self.path}/days"))
+
+    def _sums(self, stg: DataFrame, features: DataFrame, load: int) -> DataFrame:
+        return daily_sums(stg, features, self.keys).withColumns({"last_load": F.lit(load).cast("bigint"), "play_date": F.col("played_date").cast("date")})
+
+    def add(self, load: int, stg: DataFrame, features: DataFrame) -> None:
+        """Add the staged plays ``stg`` of load number ``load``."""
+        new = self._written(self._sums(stg, features, load), "arrived")
+        old = on_days_of(self.stored(), new)
+        applied = old.groupBy("play_date").agg(F.max("last_load").alias("applied"))
+        due = new.join(applied, "play_date", "left").where(F.coalesce("applied", F.lit(-1)) < load).select(*new.columns)
+        both = old.unionByName(due).groupBy(*self.keys, "played_date", "play_date")
+        self._replace(both.agg(*(F.sum(c).alias(c) for c in SUMS), F.max("last_load").alias("last_load")))
+
+    def refresh(self, days: DataFrame, plays: DataFrame, stage, features: DataFrame, load: int) -> None:
+        """Roll the days of ``days`` (a play_date) up again, from the stored ``plays`` of these days alone; ``stage``
+        makes staged plays of them.  ``load`` is the last load among them."""
+        self._replace(self._sums(stage(on_days_of(plays, days)), features, load))
+
+
 class KeyedTable:
     """Rows with a key under ``path``, in hash buckets; an upsert rewrites only the buckets of its keys.
 

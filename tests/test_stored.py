@@ -6,8 +6,10 @@ import tempfile
 import pytest
 
 from pyspark.sql import functions as F
+from sonora.operators.daily import stg_daily_mood
 from sonora.operators.load import on_days_of
-from sonora.operators.stored import BAD_TIME, NO_TIME, FeatureTable, KeyedTable, PlayTable
+from sonora.operators.staging import stg_listening_events
+from sonora.operators.stored import BAD_TIME, NO_TIME, DailyTable, FeatureTable, KeyedTable, PlayTable
 
 DAY = 86400
 COLUMNS = "pos long, track_name string, artist string, album string, timestamp string, unix_timestamp long"
@@ -131,3 +133,37 @@ def test_batch_border_within_a_name(spark, by, count):
     table.backfill(pairs(spark, 10))  # the rest of the open work list
     table.backfill(pairs(spark, 10))
     assert table.rows().count() == count
+
+
+FEATURES = "track_name string, artist string, energy float, valence float, tempo float, danceability float, mood_label string"
+
+
+def test_daily_sums_of_loads_add_up(spark):
+    plays, days = PlayTable(spark, new_dir()), DailyTable(spark, new_dir())
+    features = spark.createDataFrame([(f"a{k}", a, 0.1 * k, 0.5, 100.0 + k, None if k == 2 else 0.25, m) for k in range(6) for a, m in (("x", "energetic"), ("y", "peaceful"))][:-3], FEATURES)
+    loads = [[k * 7000 + 1 for k in range(30)], [5, 40000, 40001, 9 * DAY], [3]]
+    for n, seconds in enumerate(loads, 1):
+        plays.load(plays_of(spark, seconds), ["pos"])
+        before = day_files(days)
+        days.add(n, stg_listening_events(plays.rows().where(F.col("load") == n)), features)
+        touched = {f"play_date={r.play_date}" for r in plays.rows().where(F.col("load") == n).select("play_date").distinct().collect()}
+        assert {f for f in before if f[0] not in touched} <= day_files(days)
+    full = sorted(map(str, stg_daily_mood(stg_listening_events(plays.rows()), features).collect()))
+    assert sorted(map(str, days.rows().collect())) == full
+    days.add(3, stg_listening_events(plays.rows().where("load = 3")), features)  # again
+    assert sorted(map(str, days.rows().collect())) == full
+    assert "dynamicpruning" in on_days_of(days.stored(), days.stored().limit(1))._jdf.queryExecution().executedPlan().toString()
+    # A track is featured later: its days are rolled up again.
+    late = features.unionByName(spark.createDataFrame([("a5", "z", 0.9, 0.9, 90.0, 0.9, "intense")], FEATURES))
+    again = plays.rows().where("track_name = 'a5'").select("play_date").distinct()
+    days.refresh(again, plays.rows(), stg_listening_events, late, 3)
+    assert sorted(map(str, days.rows().collect())) == sorted(map(str, stg_daily_mood(stg_listening_events(plays.rows()), late).collect()))
+
+
+def plays_of(spark, seconds):
+    return spark.createDataFrame([(k, f"a{k % 7}", "x", "", None, s) for k, s in enumerate(seconds)], COLUMNS)
+
+
+def day_files(table):
+    days = f"{table.path}/days"
+    return {(d, f) for d in (os.listdir(days) if os.path.exists(days) else []) if d.startswith("play_date") for f in os.listdir(f"{days}/{d}") if f.endswith(".parquet")}
