@@ -31,18 +31,75 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class _Pieces(dict):
-    """The ids of each lower-cased piece; a new piece is tokenized when first asked for."""
+class _Lists:
+    """Numbered things and, end to end, the ids of each."""
 
-    def __init__(self, model) -> None:
-        from tokenizers.pre_tokenizers import ByteLevel
+    def __init__(self) -> None:
+        self.number: dict = {}
+        self.pool, self.starts, self.lengths = array("I"), array("q"), array("q")
+
+    def __len__(self) -> int:
+        return len(self.number)
+
+    def add(self, things: list, lengths: np.ndarray, ids: np.ndarray) -> None:
+        begun = len(self.pool)
+        self.pool.frombytes(ids.astype("I").tobytes())
+        self.starts.frombytes((begun + np.cumsum(lengths) - lengths).astype("q").tobytes())
+        self.lengths.frombytes(lengths.astype("q").tobytes())
+        self.number.update(zip(things, range(len(self.number), len(self.number) + len(things))))
+
+    def numbers(self, things: list) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, things), np.int64, len(things))
 
-        self.model, self.spell = model, ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+    def ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the things of these numbers, end to end, and how many each has."""
+        if not len(at):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        lengths = np.frombuffer(self.lengths, np.int64)[at]
+        shift = np.frombuffer(self.starts, np.int64)[at] - (np.cumsum(lengths) - lengths)
+        total = int(lengths.sum())
+        if not total:
+            return np.zeros(0, np.uint32), lengths
+        return np.frombuffer(self.pool, np.uint32)[np.arange(total) + np.repeat(shift, lengths)], lengths
+
+
+class _Pieces(_Lists):
+    """The ids of each lower-cased piece of plain words; number 0 is the line end between words, without ids."""
+
+    def __init__(self, whole) -> None:
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Split
+
+        self.bare = Tokenizer(whole.model)
+        self.bare.pre_tokenizer = Split("\n", "removed")
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        # The character by which the model spells each byte of plain characters.
+        self.spell = np.arange(256, dtype="<u4")
+        for c in map(chr, range(0x80, 0x250)):
+            for byte, spelled in zip(c.encode(), level.pre_tokenize_str(c)[0][0]):
+                self.spell[byte] = ord(spelled)
+        self.width = np.zeros(whole.get_vocab_size() + 1, np.int64)
+        suffix = getattr(whole.model, "end_of_word_suffix", None) or ""
+        for token, k in whole.get_vocab().items():
+            self.width[k] = len(token.removesuffix(suffix))
+        self.forget()
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        spelled = piece if piece.isascii() else self.spell(piece)[0][0]
-        self[piece] = ids = tuple([t.id for t in self.model.tokenize(spelled)])
-        return ids
+    def forget(self) -> None:
+        super().__init__()
+        self.add(["\n"], np.zeros(1, np.int64), np.zeros(0, np.uint32))
+
+    def learn(self, pieces: list[str]) -> bool:
+        """Tokenize new pieces together; false if the model's tokens do not spell them out."""
+        data = np.frombuffer("\n".join([*pieces, ""]).encode(), np.uint8)
+        spelled = self.spell[data].tobytes().decode("utf-32-le")
+        ids = np.array(self.bare.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.cumsum(self.width[ids])
+        marks = np.flatnonzero(data == 10) - np.arange(len(pieces))  # where each piece ends in the bytes of all
+        last = np.searchsorted(ends, marks)
+        if not len(ids) or ends[-1] != marks[-1] or (ends[last] != marks).any():
+            return False
+        self.add(pieces, np.diff(last + 1, prepend=0), ids)
+        return True
 
 
 def _splitter(whole) -> regex.Pattern | None:
@@ -59,80 +116,63 @@ def _splitter(whole) -> regex.Pattern | None:
     return regex.compile("\n|" + split["pattern"]["Regex"])
 
 
-class Tokens(dict):
-    """The number of each word that has been tokenized, and all words' ids end to end."""
+class Tokens:
+    """The ids of words, tokenized when first asked for."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.whole.get_added_tokens_decoder().values()]
-        self.pieces, self.split = _Pieces(self.whole.model), _splitter(self.whole)
-        self.forget()
+        self.words, self.pieces, self.split = _Lists(), _Pieces(self.whole), _splitter(self.whole)
 
     def forget(self) -> None:
         """Give the memory back."""
-        self._forget_words()
-        self._forget_pieces()
-
-    def _forget_words(self) -> None:
-        self.clear()
-        self.pool, self.starts, self.lengths = array("I"), array("q"), array("q")
-
-    def _forget_pieces(self) -> None:
-        self.pieces.clear()
-        self.pieces["\n"] = ()
-
-    def _add(self, words: list[bytes], lengths: np.ndarray, ids) -> None:
-        begun = len(self.pool)
-        self.pool.extend(ids)
-        self.starts.frombytes((begun + np.cumsum(lengths) - lengths).astype("q").tobytes())
-        self.lengths.frombytes(lengths.astype("q").tobytes())
-        self.update(zip(words, range(len(self), len(self) + len(words))))
+        self.words = _Lists()
+        self.pieces.forget()
 
     def _learn(self, words: list[bytes]) -> None:
         fast, text = words, b"\n".join(words)
         if not self.split or any(s in text for s in self.special):
             fast = []
-        elif words and not _PLAIN.fullmatch(text.decode()):
+        elif not _PLAIN.fullmatch(text.decode()):
             fast = [w for w in words if _PLAIN.fullmatch(w.decode())]
             text = b"\n".join(fast)
         if fast:
             found = self.split.findall(text.decode().lower())
-            lists = [self.pieces[p] for p in found]
-            word = np.cumsum(np.fromiter((p == "\n" for p in found), np.int64, len(found)))
-            lengths = np.bincount(word, np.fromiter(map(len, lists), np.int64, len(lists)), len(fast)).astype(np.int64)
-            self._add(fast, lengths, chain.from_iterable(lists))
-        slow = [w for w in words if w not in self] if len(fast) < len(words) else []
+            known = self.pieces.number
+            new = [p for p in dict.fromkeys(found) if p not in known]
+            if new and not self.pieces.learn(new):
+                fast = []
+            else:
+                at = self.pieces.numbers(found)
+                ids, lengths = self.pieces.ids(at)
+                self.words.add(fast, np.bincount(np.cumsum(at == 0), lengths, len(fast)).astype(np.int64), ids)
+        slow = [w for w in words if w not in self.words.number] if len(fast) < len(words) else []
         if slow:
             lists = [e.ids for e in self.whole.encode_batch([w.decode() for w in slow], add_special_tokens=False)]
-            self._add(slow, np.fromiter(map(len, lists), np.int64, len(lists)), chain.from_iterable(lists))
+            self.words.add(slow, np.fromiter(map(len, lists), np.int64, len(lists)), np.fromiter(chain.from_iterable(lists), np.uint32))
 
     def _numbers(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > WORDS_KEPT:
-            self._forget_words()
+        if len(self.words) > WORDS_KEPT:
+            self.words = _Lists()
         if len(self.pieces) > PIECES_KEPT:
-            self._forget_pieces()
-        own = dict.fromkeys(words)
-        self._learn([w for w in own if w not in self])
-        own = {w: self[w] for w in own}  # few words, looked up many times
+            self.pieces.forget()
+        own = list(dict.fromkeys(words))
+        new = [w for w in own if w not in self.words.number]
+        if new:
+            self._learn(new)
+        own = dict(zip(own, map(self.words.number.__getitem__, own)))  # few words, looked up many times
         return np.fromiter(map(own.__getitem__, words), np.int64, len(words))
 
     def counts(self, words: list[bytes]) -> np.ndarray:
         """The number of ids of each word."""
         at = self._numbers(words)
-        return np.frombuffer(self.lengths, np.int64)[at] if len(words) else at
+        return np.frombuffer(self.words.lengths, np.int64)[at] if len(words) else at
 
     def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words in order, and the number of ids of each word."""
-        at = self._numbers(words)
-        if not len(words):
-            return np.zeros(0, np.uint32), at
-        lengths = np.frombuffer(self.lengths, np.int64)[at]
-        shift = np.frombuffer(self.starts, np.int64)[at] - (np.cumsum(lengths) - lengths)
-        if not lengths.sum():
-            return np.zeros(0, np.uint32), lengths
-        return np.frombuffer(self.pool, np.uint32)[np.arange(lengths.sum()) + np.repeat(shift, lengths)], lengths
+        return self.words.ids(self._numbers(words))
 
 
 _LOADED: dict[str, Tokens] = {}
