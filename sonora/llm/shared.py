@@ -65,15 +65,16 @@ def saved(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def attached(rows: DataFrame, per_key: DataFrame, keys: list[str], most: int = 1000) -> DataFrame:
-    """``rows`` inner-joined to ``per_key``, which has one row for each key and the key's rows as ``copies``.
+def attached(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inner", most: int = 1000) -> DataFrame:
+    """``rows`` joined ("inner" or "left") to ``per_key``, which has one row for each key and the key's number of rows as
+    ``copies``.
 
-    A key with over one in ``most`` of all rows is joined by broadcast, so that its rows stay where they are; there
-    are fewer than ``most`` such keys, whatever the input.
+    A key with over one in ``most`` of the counted rows is joined by broadcast, so that its rows stay where they are;
+    there are fewer than ``most`` such keys, whatever the input.
     """
     hot = F.col("copies") * most > per_key.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("copies")).first()[0]
     hot_keys = F.broadcast(per_key.where(hot))
-    cold = rows.join(F.broadcast(per_key.where(hot).select(*keys)), keys, "left_anti").join(per_key.where(~hot), keys)
+    cold = rows.join(F.broadcast(per_key.where(hot).select(*keys)), keys, "left_anti").join(per_key.where(~hot), keys, how)
     return rows.join(hot_keys, keys).unionByName(cold).drop("copies")
 
 

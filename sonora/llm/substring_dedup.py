@@ -2,19 +2,19 @@
 
 Every window of ``window`` words is filed under its anchor, the least hash of the ``anchor_words``-grams in it;
 equal windows share their anchor, so only windows whose anchor occurs twice can repeat. Consecutive windows of
-one anchor form a segment, and the segments of one repeated anchor are a reference shard of at most
-``most_segments`` segments. A shard's task builds a suffix automaton over its distinct segments, each weighed
-by its copies, and streams the segments through it: the state of the last ``window`` words tells how often
-they occur in the corpus. An automaton goes only to the task that reads its shard; sending all of them to all
-tasks would grow with the corpus. A lone segment, copied exactly, needs no automaton.
+one anchor form a segment. Copies of a text count once: all words of a text with copies go, and it meets other
+texts as one. Copies of a segment count once too: the distinct segments of a repeated anchor, each weighed by its
+occurrences, are a reference shard. A shard's task builds a suffix automaton over them and streams them through it:
+the state of the last ``window`` words tells how often they occur in the corpus. An automaton goes only to the
+task that reads its shard; sending all of them to all tasks would grow with the corpus.
 
-Windows of an anchor with more occurrences (a passage in very many documents) are counted one by one under a
-128-bit hash instead, a sum that Spark combines before it shuffles, so no hot shard forms and nothing is lost.
-
-The covering spans of a text are found once for all its copies and joined to the documents.
+A shard holds at most ``most_segments`` distinct segments and ``most_bytes`` bytes of words. Beyond that its windows are
+counted one by one under a 128-bit hash of their bytes, a sum that Spark combines before it shuffles, so no hot
+shard forms and nothing is lost. Results go back to segments, texts and documents by joins in which a key that
+holds a large share of the rows is broadcast, so no key's rows are gathered.
 
 Defined cases: a null or empty text has no words (the checksum of the empty string). Texts shorter than the
-window lose nothing. Repeated rows repeat each other's windows. A null doc_id is carried. An empty table gives
+window lose nothing. Repeated rows repeat each other's windows. A very long text is one row, worked on by itself. A null doc_id is carried. An empty table gives
 an empty result; extra columns are ignored.
 """
 from __future__ import annotations
@@ -28,24 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonora.llm import words as W
-from sonora.llm.shared import prepare, saved, table
-
-WINDOW, ANCHOR_WORDS, MOST_SEGMENTS = 35, 8, 256
-_ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
-
+from sonora.llm.hashing import ODD, mixed, rolled
+from sonora.llm.shared import attached, prepare, saved, table
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
-
-
-def _rolled(h: np.ndarray, n: int, width: int, factor: np.uint64) -> np.ndarray:
-    """A hash of each run of ``width`` word hashes that starts at one of the first ``n`` places."""
-    g = np.zeros(n, np.uint64)
-    for j in range(width):
-        g = _mixed(g * factor + h[j : j + n])
-    return g
+WINDOW, ANCHOR_WORDS, MOST_SEGMENTS, MOST_BYTES = 35, 8, 256, 1 << 18
 
 
 def _least(x: np.ndarray, width: int) -> np.ndarray:
@@ -69,7 +55,7 @@ class Segments:
         n_windows = np.maximum(0, np.diff(ends) - window + 1)
         if not n_windows.any():
             return
-        grams = _rolled(self.hash, len(words) - anchor_words + 1, anchor_words, _ODD[0])
+        grams = rolled(self.hash, len(words) - anchor_words + 1, anchor_words, ODD[0])
         least = _least(grams, window - anchor_words + 1)
         doc = np.repeat(np.arange(len(n_windows)), n_windows)
         at = np.arange(len(doc)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
@@ -80,7 +66,7 @@ class Segments:
         self._grams, self._ends, self._n = grams, ends, np.maximum(0, np.diff(ends) - anchor_words + 1)
 
     def key(self, doc: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-        return _mixed(anchor + _mixed(doc.astype(np.uint64) * _ODD[1] + np.uint64(1)))
+        return mixed(anchor + mixed(doc.astype(np.uint64) * ODD[1] + np.uint64(1)))
 
     def occurrences(self) -> np.ndarray:
         """2 for an anchor whose words occur twice or more in its document, else 1."""
@@ -93,47 +79,64 @@ class Segments:
         return 1 + np.isin(self.key(self.doc, self.anchor), again)
 
 
+def _longs(x: np.ndarray) -> pa.Array:
+    return pa.array(x.astype(np.uint64).view(np.int64))
+
+
+def _digests(things: list[bytes]) -> tuple[pa.Array, pa.Array]:
+    """Both halves of a 128-bit hash of each."""
+    found = list(map(xxhash.xxh3_128_digest, things))
+    halves = np.frombuffer(b"".join(found), np.int64).reshape(-1, 2) if found else np.zeros((0, 2), np.int64)
+    return pa.array(halves[:, 0]), pa.array(halves[:, 1])
+
+
 def _anchors(window: int, anchor_words: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each text, its number of words and its anchors, each with 2 where its words occur twice in the text, else 1."""
         for batch in batches:
-            t1, t2 = (batch.column(c).to_numpy() for c in ("t1", "t2"))
             for first, data, offsets in W.slices(batch.column("text")):
-                s = Segments(*W.split_words(data, offsets), window, anchor_words)
-                yield pa.RecordBatch.from_pydict({"anchor": s.anchor.view(np.int64), "t1": t1[first + s.doc], "t2": t2[first + s.doc], "n": s.occurrences()})
+                words, ends = W.split_words(data, offsets)
+                s, n = Segments(words, ends, window, anchor_words), len(ends) - 1
+                cuts = np.concatenate([[0], np.cumsum(np.bincount(s.doc, minlength=n))])
+                pairs = pa.StructArray.from_arrays([_longs(s.anchor), pa.array(s.occurrences())], ["anchor", "n"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, n) for c in ("t1", "t2")), pa.array(np.diff(ends)), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pairs)], names=["t1", "t2", "n_words", "anchors"])
 
     return task
 
 
 def _segments(window: int, anchor_words: int):
-    schema = pa.schema([("g1", pa.int64()), ("g2", pa.int64()), ("t1", pa.int64()), ("t2", pa.int64()), ("start", pa.int64()), ("words", pa.binary())])
-
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Segments of repeated anchors with their words; of hot anchors, single windows with their hashes."""
+        """The segments of repeated anchors: where they lie, a hash of their words, and the words."""
         for batch in batches:
             t1, t2 = (batch.column(c).to_numpy() for c in ("t1", "t2"))
             for first, data, offsets in W.slices(batch.column("text")):
                 words, ends = W.split_words(data, offsets)
                 s = Segments(words, ends, window, anchor_words)
-                lists = batch.column("anchors").slice(first, len(offsets) - 1)
+                lists = batch.column("repeated").slice(first, len(offsets) - 1)
                 doc = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-                found = lists.flatten()
-                known = s.key(doc, found.field("anchor").to_numpy().view(np.uint64))
-                hot = found.field("hot").to_numpy(zero_copy_only=False)
-                own = s.key(s.doc, s.anchor)
-                cold = np.flatnonzero(np.isin(own, known[~hot]))
-                at = ends[s.doc[cold]] + s.first[cold]
-                joined = [b" ".join(words[a:b]) for a, b in zip(at.tolist(), (at + s.count[cold] + window - 1).tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((s.anchor[cold].view(np.int64), np.zeros(len(cold), np.int64), t1[first + s.doc[cold]], t2[first + s.doc[cold]], s.first[cold], joined), schema.types)], schema=schema)
-                warm = np.flatnonzero(np.isin(own, known[hot]))
-                if len(warm):
-                    doc = np.repeat(s.doc[warm], s.count[warm])
-                    start = np.arange(len(doc)) + np.repeat(s.first[warm] - (np.cumsum(s.count[warm]) - s.count[warm]), s.count[warm])
-                    at = ends[doc] + start
-                    g = [np.zeros(len(at), np.uint64) for _ in range(2)]
-                    for j in range(window):
-                        h = s.hash[at + j]
-                        g = [_mixed(x * f + h) for x, f in zip(g, _ODD[1:])]
-                    yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (g[0].view(np.int64), g[1].view(np.int64), t1[first + doc], t2[first + doc], start)), pa.nulls(len(at), pa.binary())], schema=schema)
+                known = s.key(doc, lists.flatten().to_numpy().view(np.uint64))
+                at = np.flatnonzero(np.isin(s.key(s.doc, s.anchor), known))
+                begin = ends[s.doc[at]] + s.first[at]
+                joined = [b" ".join(words[a:b]) for a, b in zip(begin.tolist(), (begin + s.count[at] + window - 1).tolist())]
+                yield pa.RecordBatch.from_arrays([_longs(s.anchor[at]), *_digests(joined), pa.array(t1[first + s.doc[at]]), pa.array(t2[first + s.doc[at]]), pa.array(s.first[at]), pa.array(joined, pa.binary())], names=["anchor", "s1", "s2", "t1", "t2", "start", "words"])
+
+    return task
+
+
+def _windows(window: int):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each window of some segments: its place and a hash of its words."""
+        for batch in batches:
+            for k, joined in enumerate(batch.column("words")):
+                whole = joined.as_py()
+                ends = np.flatnonzero(np.frombuffer(whole + b" ", np.uint8) == 32)
+                starts = np.concatenate([[0], ends[:-1] + 1])
+                n = len(ends) - window + 1
+                for lo in range(0, n, 1 << 14):  # a long segment's windows, some at a time
+                    hi = min(lo + (1 << 14), n)
+                    found = [whole[a:b] for a, b in zip(starts[lo:hi].tolist(), ends[lo + window - 1 : hi + window - 1].tolist())]
+                    own = [pa.repeat(batch.column(c)[k], hi - lo) for c in ("s1", "s2", "copies")]
+                    yield pa.RecordBatch.from_arrays([*own, pa.array(np.arange(lo, hi)), *_digests(found)], names=["s1", "s2", "times", "first", "h1", "h2"])
 
     return task
 
@@ -202,17 +205,14 @@ class SuffixAutomaton:
         return out
 
 
-def _shard(segments: list[bytes], window: int) -> list[list[tuple[int, int]]]:
-    """For each distinct segment of a shard, in the order in which it first occurs: spans of words that repeated windows cover."""
-    copies: dict[bytes, int] = {}
-    for s in segments:
-        copies[s] = copies.get(s, 0) + 1
-    if len(copies) == 1 and len(segments) > 1:
+def _shard(segments: list[bytes], copies: list[int], window: int) -> list[list[tuple[int, int]]]:
+    """For each distinct segment of a shard: spans of words that repeated windows cover."""
+    if len(segments) == 1 and copies[0] > 1:
         return [[(0, segments[0].count(b" ") + 1)]]
     names = W.Vocabulary()
-    sequences = [[names[w] for w in s.split(b" ")] for s in copies]
+    sequences = [[names[w] for w in s.split(b" ")] for s in segments]
     automaton = SuffixAutomaton()
-    for sequence, n in zip(sequences, copies.values()):
+    for sequence, n in zip(sequences, copies):
         automaton.add(sequence, n)
     automaton.close()
     out = []
@@ -227,45 +227,74 @@ def _shard(segments: list[bytes], window: int) -> list[list[tuple[int, int]]]:
     return out
 
 
+_SPANS = "array<struct<first:long,last:long>>"
+
+
 def _shards(window: int):
+    kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by anchor; spans of words of each text."""
+        """Rows come sorted by anchor; of each segment with repeated windows, the spans that they cover."""
         held, anchor = [], None
 
-        def spans() -> Iterator[pa.RecordBatch]:
-            texts = [h[3] for h in held]
-            found = dict(zip(dict.fromkeys(texts), _shard(texts, window)))
-            rows = [(t1, t2, start + a, start + b) for t1, t2, start, s in held for a, b in found[s]]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], names=["t1", "t2", "first", "last"])
+        def spans() -> list[tuple]:
+            found = _shard([h[3] for h in held], [h[2] for h in held], window)
+            return [(s1, s2, n, rows) for (s1, s2, n, _), rows in zip(held, found) if rows]
+
+        def sent(rows: list[tuple]) -> pa.RecordBatch:
+            columns = [[r[k] for r in rows] for k in range(4)]
+            lists = [[{"first": a, "last": b} for a, b in x] for x in columns[3]]
+            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(lists, kind)], names=["s1", "s2", "copies", "spans"])
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("g1", "t1", "t2", "start", "words")]
+            rows: list[tuple] = []
+            columns = [batch.column(c).to_pylist() for c in ("anchor", "s1", "s2", "copies", "words")]
             for g, *row in zip(*columns):
                 if g != anchor:
-                    yield from spans()
+                    rows += spans() if held else []
                     held, anchor = [], g
                 held.append(row)
-        yield from spans()
+            yield sent(rows)
+        if held:
+            yield sent(spans())
 
     return task
 
 
-def spans(docs: DataFrame, window: int = WINDOW, anchor_words: int = ANCHOR_WORDS, most_segments: int = MOST_SEGMENTS) -> DataFrame:
-    """t1, t2 (hashes of a text) and ``spans``: first and last (exclusive) of the words that repeated windows cover. ``docs``: t1, t2, text."""
+def spans(docs: DataFrame, window: int = WINDOW, anchor_words: int = ANCHOR_WORDS, most_segments: int = MOST_SEGMENTS, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """t1, t2 (hashes of a text), ``copies`` of the text, and ``spans``: first and last (exclusive) of the words that
+    repeated windows cover. ``docs``: t1, t2, text."""
     spark = docs.sparkSession
     texts = docs.select("t1", "t2", "text").where(F.char_length("text") >= 2 * window - 1)
-    found = saved(texts.mapInArrow(_anchors(window, anchor_words), "anchor long, t1 long, t2 long, n long"), "anchors")
-    twice = found.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", (F.col("n") > most_segments).alias("hot"))
-    by_text = found.select("anchor", "t1", "t2").join(saved(twice, "repeated"), "anchor").groupBy("t1", "t2").agg(F.collect_set(F.struct("anchor", "hot")).alias("anchors"))
-    kinds = "g1 long, g2 long, t1 long, t2 long, start long, words binary"
-    segments = saved(texts.join(saved(by_text, "by-text"), ["t1", "t2"]).mapInArrow(_segments(window, anchor_words), kinds), "segments")
+    found = texts.mapInArrow(_anchors(window, anchor_words), "t1 long, t2 long, n_words long, anchors array<struct<anchor:long,n:long>>")
+    found = saved(found.where(F.col("n_words") >= window).groupBy("t1", "t2").agg(F.first("n_words").alias("n_words"), F.first("anchors").alias("anchors"), F.count("*").alias("copies")), "anchors")
+    filed = found.select("t1", "t2", F.explode("anchors").alias("a")).select("t1", "t2", "a.*")
+    twice = saved(filed.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "repeated")
+    by_text = filed.select("t1", "t2", "anchor").join(twice, "anchor").groupBy("t1", "t2").agg(F.collect_set("anchor").alias("repeated"))
+    once = texts.dropDuplicates(["t1", "t2"]).join(saved(by_text, "by-text"), ["t1", "t2"])
+    segments = saved(once.mapInArrow(_segments(window, anchor_words), "anchor long, s1 long, s2 long, t1 long, t2 long, start long, words binary"), "segments")
+
+    # Distinct segments, weighed by their occurrences; shards too large for an automaton are counted by windows.
+    distinct = saved(segments.groupBy("anchor", "s1", "s2").agg(F.first("words").alias("words"), F.count("*").alias("copies")), "distinct")
+    sizes = distinct.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.length("words")).alias("size"))
+    large = saved(sizes.where((F.col("n") > most_segments) | (F.col("size") > most_bytes)).select("anchor"), "large")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cold = segments.where("words is not null").repartition(n, "g1").sortWithinPartitions("g1").mapInArrow(_shards(window), "t1 long, t2 long, first long, last long")
-    hot = segments.where("words is null").select("g1", "g2", "t1", "t2", "start")
-    again = saved(hot.groupBy("g1", "g2").agg(F.count("*").alias("n")).where("n > 1").select("g1", "g2"), "again")
-    hot = hot.join(again, ["g1", "g2"], "left_semi").select("t1", "t2", F.col("start").alias("first"), (F.col("start") + window).alias("last"))
-    return cold.unionByName(hot).groupBy("t1", "t2").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    cold = distinct.join(large, "anchor", "left_anti").repartition(n, "anchor").sortWithinPartitions("anchor")
+    cold = cold.mapInArrow(_shards(window), f"s1 long, s2 long, copies long, spans {_SPANS}")
+    covered = cold
+    if not large.isEmpty():
+        windows = distinct.join(large, "anchor", "left_semi").select("s1", "s2", "copies", "words")
+        windows = saved(windows.mapInArrow(_windows(window), "s1 long, s2 long, times long, first long, h1 long, h2 long"), "windows")
+        again = saved(windows.groupBy("h1", "h2").agg(F.sum("times").alias("total"), F.count("*").alias("copies")).where("total > 1").select("h1", "h2", "copies"), "again")
+        hot = attached(windows, again, ["h1", "h2"]).groupBy("s1", "s2").agg(F.first("times").alias("copies"), F.collect_list(F.struct("first", (F.col("first") + window).alias("last"))).alias("spans"))
+        covered = cold.unionByName(hot)
+    covered = saved(covered, "covered")
+
+    shifted = F.transform("spans", lambda x: F.struct((x["first"] + F.col("start")).alias("first"), (x["last"] + F.col("start")).alias("last")))
+    within = attached(segments.select("s1", "s2", "t1", "t2", "start"), covered, ["s1", "s2"]).select("t1", "t2", shifted.alias("spans"))
+    whole = found.where("copies > 1").select("t1", "t2", F.array(F.struct(F.lit(0).cast("long").alias("first"), F.col("n_words").alias("last"))).alias("spans"))
+    joined = within.unionByName(whole).groupBy("t1", "t2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return joined.join(found.select("t1", "t2", "copies"), ["t1", "t2"])
 
 
 def with_text_keys(docs: DataFrame) -> DataFrame:
@@ -291,7 +320,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, **params) -> DataFram
         return pa.StructArray.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string()))], ["n_words", "n_removed", "kept"])
 
     covered = saved(spans(docs, window, **params), "spans")
-    rows = docs.join(covered, ["t1", "t2"], "left").select("doc_id", cut("text", "spans").alias("cut"))
+    rows = attached(docs, covered, ["t1", "t2"], how="left").select("doc_id", cut("text", "spans").alias("cut"))
     return rows.select("doc_id", "cut.*")
 
 
