@@ -8,7 +8,7 @@ occurrences, are a reference shard. A shard's task builds a suffix automaton ove
 the state of the last ``window`` words tells how often they occur in the corpus. An automaton goes only to the
 task that reads its shard; sending all of them to all tasks would grow with the corpus.
 
-A shard holds at most ``most_segments`` distinct segments and ``most_bytes`` bytes of words. Beyond that its windows are
+A shard holds at most ``most_segments`` distinct segments and ``most_words`` words. Beyond that its windows are
 counted one by one under a 128-bit hash of their bytes, a sum that Spark combines before it shuffles, so no hot
 shard forms and nothing is lost. Results go back to segments, texts and documents by joins in which a key that
 holds a large share of the rows is broadcast, so no key's rows are gathered.
@@ -31,7 +31,7 @@ from sonora.llm import words as W
 from sonora.llm.hashing import ODD, mixed, rolled
 from sonora.llm.shared import attached, prepare, saved, table
 
-WINDOW, ANCHOR_WORDS, MOST_SEGMENTS, MOST_BYTES = 35, 8, 256, 1 << 18
+WINDOW, ANCHOR_WORDS, MOST_SEGMENTS, MOST_WORDS = 35, 8, 8192, 1 << 18
 
 
 def _least(x: np.ndarray, width: int) -> np.ndarray:
@@ -118,7 +118,7 @@ def _segments(window: int, anchor_words: int):
                 at = np.flatnonzero(np.isin(s.key(s.doc, s.anchor), known))
                 begin = ends[s.doc[at]] + s.first[at]
                 joined = [b" ".join(words[a:b]) for a, b in zip(begin.tolist(), (begin + s.count[at] + window - 1).tolist())]
-                yield pa.RecordBatch.from_arrays([_longs(s.anchor[at]), *_digests(joined), pa.array(t1[first + s.doc[at]]), pa.array(t2[first + s.doc[at]]), pa.array(s.first[at]), pa.array(joined, pa.binary())], names=["anchor", "s1", "s2", "t1", "t2", "start", "words"])
+                yield pa.RecordBatch.from_arrays([_longs(s.anchor[at]), *_digests(joined), pa.array(t1[first + s.doc[at]]), pa.array(t2[first + s.doc[at]]), pa.array(s.first[at]), pa.array(s.count[at] + window - 1), pa.array(joined, pa.binary())], names=["anchor", "s1", "s2", "t1", "t2", "start", "size", "words"])
 
     return task
 
@@ -261,7 +261,7 @@ def _shards(window: int):
     return task
 
 
-def spans(docs: DataFrame, window: int = WINDOW, anchor_words: int = ANCHOR_WORDS, most_segments: int = MOST_SEGMENTS, most_bytes: int = MOST_BYTES) -> DataFrame:
+def spans(docs: DataFrame, window: int = WINDOW, anchor_words: int = ANCHOR_WORDS, most_segments: int = MOST_SEGMENTS, most_words: int = MOST_WORDS) -> DataFrame:
     """t1, t2 (hashes of a text), ``copies`` of the text, and ``spans``: first and last (exclusive) of the words that
     repeated windows cover. ``docs``: t1, t2, text."""
     spark = docs.sparkSession
@@ -272,12 +272,12 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor_words: int = ANCHOR_WORD
     twice = saved(filed.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "repeated")
     by_text = filed.select("t1", "t2", "anchor").join(twice, "anchor").groupBy("t1", "t2").agg(F.collect_set("anchor").alias("repeated"))
     once = texts.dropDuplicates(["t1", "t2"]).join(saved(by_text, "by-text"), ["t1", "t2"])
-    segments = saved(once.mapInArrow(_segments(window, anchor_words), "anchor long, s1 long, s2 long, t1 long, t2 long, start long, words binary"), "segments")
+    segments = saved(once.mapInArrow(_segments(window, anchor_words), "anchor long, s1 long, s2 long, t1 long, t2 long, start long, size long, words binary"), "segments")
 
     # Distinct segments, weighed by their occurrences; shards too large for an automaton are counted by windows.
-    distinct = saved(segments.groupBy("anchor", "s1", "s2").agg(F.first("words").alias("words"), F.count("*").alias("copies")), "distinct")
-    sizes = distinct.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.length("words")).alias("size"))
-    large = saved(sizes.where((F.col("n") > most_segments) | (F.col("size") > most_bytes)).select("anchor"), "large")
+    distinct = saved(segments.groupBy("anchor", "s1", "s2").agg(F.first("words").alias("words"), F.first("size").alias("size"), F.count("*").alias("copies")), "distinct")
+    sizes = distinct.groupBy("anchor").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    large = saved(sizes.where((F.col("n") > most_segments) | (F.col("size") > most_words)).select("anchor"), "large")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cold = distinct.join(large, "anchor", "left_anti").repartition(n, "anchor").sortWithinPartitions("anchor")
     cold = cold.mapInArrow(_shards(window), f"s1 long, s2 long, copies long, spans {_SPANS}")

@@ -128,7 +128,7 @@ def test_shards_bounded_by_their_words(spark):
     """Periodic texts have one anchor: a single segment beyond the bound goes by windows, and copies count once."""
     texts = ["a " * 400, "a b " * 90, "x " + "a " * 30] + ["c d e f " * 40] * 50 + ["q " + "c d e f " * 3]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    out = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in B.substring_dedup(docs, window=9, anchor_words=3, most_bytes=50).collect()}
+    out = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in B.substring_dedup(docs, window=9, anchor_words=3, most_words=50).collect()}
     assert [out[k] for k in range(len(texts))] == kept(texts, 9)
     assert B.spans(B.with_text_keys(docs), 9, 3).count() == 5
 
