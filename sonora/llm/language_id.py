@@ -1,6 +1,6 @@
 """Language ID by rank-order profiles of character n-grams (out-of-place distance).
 
-A text is lower-cased and cut into words of letters; each word, with a mark at both ends, gives its 1- to
+A text is lower-cased and cut into words of letters (``str.isalpha``); each word, with a mark at both ends, gives its 1- to
 3-grams. A profile lists the ``PROFILE_SIZE`` most frequent n-grams by rank, ties by the n-gram's code
 points. A document's distance to a language sums, over the document's own profile, how far out of place
 each n-gram is; an n-gram that the language's profile lacks counts ``PROFILE_SIZE``. Profiles are counted
@@ -9,7 +9,8 @@ over all learned documents: partial counts of each batch are added up by Spark.
 Defined cases: a null text, one without letters, and any text when nothing could be learned get ``und``
 with score 0. Equal distances go to the language that sorts first. Repeated rows count and are predicted
 each on its own. A null doc_id or lang is never learned; a null doc_id is not held out. An empty table
-gives an empty result; extra columns are ignored.
+gives an empty result; extra columns are ignored. A very long text is cut into words ``PIECE`` characters at
+a time, never within a word, and counts whole.
 """
 from __future__ import annotations
 
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sonora.llm.shared import prepare, remainder, table
@@ -32,10 +33,20 @@ PIECE = 1 << 22
 WORDS_KEPT, GRAMS_KEPT = 200_000, 100_000
 #: Parts in which the most frequent n-grams of a language are sought before the parts are merged.
 PARTS = 8
+#: Runs of letters and of numeric signs that are no decimal digits (``²``, ``½``, ``Ⅷ``), which ``letters_only`` cuts out.
 _LETTERS = re.compile(r"[^\W\d_]+")
 _MARK = 0x20
 
 
+def letters_only(found: Counter) -> Counter:
+    """The counts with each word that holds a character which is no letter cut there."""
+    for word in [w for w in found if not w.isalpha()]:
+        n = found.pop(word)
+        for part in "".join(c if c.isalpha() else " " for c in word).split():
+            found[part] += n
+    return found
+
+
 def count_words(text: str | None) -> Counter:
     """How often each lower-cased word of letters occurs."""
     found: Counter = Counter()
@@ -46,7 +57,7 @@ def count_words(text: str | None) -> Counter:
             end += 1
         found.update(_LETTERS.findall(text[start:end].lower()))
         start = end
-    return found
+    return letters_only(found)
 
 
 def gram_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,11 +145,13 @@ def train(docs: DataFrame, size: int = PROFILE_SIZE) -> dict[str, np.ndarray]:
     learned = docs.where((remainder(F.col("doc_id"), HELD_OUT_MODULUS) != HELD_OUT_REMAINDER) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = learned.select("lang", "text").mapInArrow(partial_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # Each part keeps its `size` most frequent n-grams, so what reaches the driver is bounded by languages x PARTS x size.
-    entry = F.struct((-F.col("n")).alias("less"), "gram")
-    parts = counts.withColumn("part", F.pmod(F.xxhash64("gram"), F.lit(PARTS))).groupBy("lang", "part").agg(F.slice(F.sort_array(F.collect_list(entry)), 1, size).alias("top"))
+    # The rank is a window that can spill; Spark cuts it off before the shuffle, so no task holds a language's n-grams.
+    part = F.pmod(F.xxhash64("gram"), F.lit(PARTS)).alias("part")
+    place = F.row_number().over(Window.partitionBy("lang", "part").orderBy(F.col("n").desc(), "gram"))
+    top = counts.select("lang", "gram", "n", part).withColumn("place", place).where(F.col("place") <= size)
     found: dict[str, list] = {}
-    for row in parts.select("lang", "top").collect():
-        found.setdefault(row["lang"], []).extend((e["less"], e["gram"]) for e in row["top"])
+    for row in top.select("lang", "gram", "n").collect():
+        found.setdefault(row["lang"], []).append((-row["n"], row["gram"]))
     return {lang: np.array([g for _, g in sorted(found[lang])[:size]], np.int64) for lang in sorted(found)}
 
 

@@ -49,6 +49,22 @@ def test_nothing_learned(docs, no_docs):
     assert L.language_id(no_docs).count() == 0
 
 
+def test_letters(spark):
+    assert L.count_words("x² ½ Ⅷ ① ²b³c² 12 一二 x") == Counter({"x": 2, "b": 1, "c": 1, "一二": 1})
+    docs = spark.createDataFrame([(1, "plain words here", "en"), (2, "² ½ Ⅷ ① 12 _", "en")], "doc_id long, text string, lang string")
+    assert {r.doc_id: r.lang_pred for r in L.language_id(docs).collect()}[2] == "und"
+
+
+def test_profile_of_many_grams(spark):
+    """More n-grams than a profile holds: the commonest, ties by code, whatever part they fall in."""
+    docs = spark.createDataFrame([(k, " ".join(chr(0x4E00 + j) for j in range(k, 700)), "zh") for k in range(1, 12)], "doc_id long, text string, lang string")
+    found = Counter()
+    for k in range(1, 12):
+        if zlib.crc32(str(k).encode()) % 5:
+            found.update(brute_counts(" ".join(chr(0x4E00 + j) for j in range(k, 700))))
+    assert L.train(docs)["zh"].tolist() == ranked(found)
+
+
 def test_held_out_accuracy(spark, sf001):
     out = L.op4_language_id(spark, sf001).join(spark.read.parquet(f"{sf001}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert sum(r.lang_pred == r.lang for r in out) / len(out) > 0.9
