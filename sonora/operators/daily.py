@@ -7,21 +7,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sonora.fixed_values import MOOD_LABELS, PROFILE_MOODS, TIME_OF_DAY_LABELS
 from sonora.functions.mood import largest
+from sonora.operators.skew import split_join
 
 AVERAGED = [("energy", 3), ("valence", 3), ("tempo", 1), ("danceability", 3)]
 
 
 def events_with_features(stg: DataFrame, features: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Plays left-joined to features on the track name only, rows without a
-    mood label dropped (Catalyst turns this into an inner join).
+    mood label dropped, which makes it an inner join.
 
     Features are stored per (track, artist), so a name with several artists
-    repeats the play once per feature row -- this fan-out is intended.
+    repeats the play once per feature row -- this fan-out is intended.  A
+    name with many plays (the empty title, say) is divided over tasks.
     """
     e = stg.select(*keys, "play_id", "track_name", "artist_clean", "played_date",
                    "played_hour", "time_of_day", "played_day_of_week")
     f = features.select("track_name", "energy", "valence", "tempo", "danceability", "mood_label")
-    return e.join(f, "track_name", "left").filter(F.col("mood_label").isNotNull())
+    return split_join(e, f.filter(F.col("mood_label").isNotNull()), "track_name", [*keys, "play_id"])
 
 
 def track_feature_summary(features: DataFrame) -> DataFrame:

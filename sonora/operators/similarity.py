@@ -1,16 +1,23 @@
-"""One-vs-rest similarity over profile vectors, and nearest personas.
+"""One-vs-rest similarity over profile vectors, all listeners' nearest, and nearest personas.
 
 The target's vector is fetched with a scalar subquery: a single value with
 a proven size (one row, selected by a unique key -- Spark raises if the key
 matched more than one row), embedded in the plan and compared with every
 other row in the scan's own tasks.  No join, no pairs: the work is one
 pass over the profiles, split across as many tasks as the table has.
+
+Many targets at once (``similar_users_of``) are compared in blocks: a cell
+is one block of targets and one block of profiles, multiplied by NumPy in
+a task of its own, which passes on its best few rows for each target.
 """
 from __future__ import annotations
 
 import math
+from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sonora.fixed_values import PERSONAS, SIMILAR_USERS_TOP_N
 from sonora.functions.mood import largest
@@ -72,6 +79,93 @@ def match_list(profiles: DataFrame, target: Column, key: str = "username") -> Da
         "days_active")
 
 
+#: Expected rows in a block of targets or of profiles: a cell holds two blocks and one matrix of their products.
+BLOCK_ROWS = 2048
+
+
+def _rounded4(cos: np.ndarray) -> np.ndarray:
+    """Cosines as counts of 1e-4, rounded half up by their decimal form as ``F.round`` does."""
+    scaled = cos * 10000.0
+    n = np.floor(np.abs(scaled) + 0.5)
+    for at in np.argwhere(np.abs(np.abs(scaled) - np.floor(np.abs(scaled)) - 0.5) < 1e-6):
+        exact = Decimal(repr(abs(float(cos[tuple(at)])))) * 10000
+        n[tuple(at)] = int(exact.quantize(Decimal(1), ROUND_HALF_UP))
+    return (np.sign(scaled) * n).astype(np.int64)
+
+
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    """One row for each vector; a missing vector, or one with a missing component, is all zeros."""
+    width = max((len(v) for v in vectors if v is not None), default=0)
+    out = np.zeros((len(vectors), width))
+    for k, v in enumerate(vectors):
+        if v is not None:
+            out[k] = np.asarray(v, float)
+    out[np.isnan(out).any(1)] = 0.0
+    return out
+
+
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products added up dimension by dimension, in the order in which ``dot`` adds them."""
+    out = np.zeros((len(a), len(b)))
+    for k in range(a.shape[1]):
+        out += np.multiply.outer(a[:, k], b[:, k])
+    return out
+
+
+def _best_of_cell(top_n: int):
+    def best(targets: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        """The ``top_n`` most similar rows of one block for each target of another."""
+        rows = rows.sort_values("name", ignore_index=True)
+        a, b = _matrix(targets["v"]), _matrix(rows["v"])
+        if not len(a) or not len(b):
+            return pd.DataFrame({"target": targets["name"][:0], "username": rows["name"][:0], "tenths": np.zeros(0, np.int64)})
+        if a.shape[1] != b.shape[1]:
+            raise ValueError(f"vectors of {a.shape[1]} and of {b.shape[1]} dimensions")
+        norms = np.multiply.outer(np.sqrt((a * a).cumsum(1)[:, -1]), np.sqrt((b * b).cumsum(1)[:, -1])) if a.shape[1] else np.zeros((len(a), len(b)))
+        cos = np.divide(_products(a, b), norms, out=np.zeros_like(norms), where=norms > 0)
+        n = _rounded4(cos)
+        tenths = np.sign(n) * ((np.abs(n) + 5) // 10)
+        # Rows lie in the order of their names, so equal similarities go to the smaller name.
+        key = np.where(targets["name"].to_numpy()[:, None] == rows["name"].to_numpy()[None, :], np.iinfo(np.int64).max,
+                       -tenths * len(b) + np.arange(len(b)))
+        keep = min(top_n, len(b))
+        at = np.argpartition(key, keep - 1, axis=1)[:, :keep]
+        who = np.repeat(np.arange(len(a)), keep)
+        at = at.ravel()
+        other = key[who, at] < np.iinfo(np.int64).max
+        who, at = who[other], at[other]
+        return pd.DataFrame({"target": targets["name"].to_numpy()[who], "username": rows["name"].to_numpy()[at], "tenths": tenths[who, at]})
+
+    return best
+
+
+def similar_users_of(targets: DataFrame, profiles: DataFrame, top_n: int = SIMILAR_USERS_TOP_N, key: str = "username",
+                     vector: str = "embedding", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """For every target row, its ``top_n`` most similar other profiles: target, rank (from 1), username, similarity.
+
+    Exact, and equal to ``similar_users`` run for each target: similarity = round(round(cos,4)*100,1), ties by
+    name.  Targets and profiles are dealt to blocks of about ``block_rows`` rows by a hash of the key; every block of
+    targets meets every block of profiles in a cell of its own, so no task holds more than two blocks, and a cell
+    sends on ``top_n`` rows for each target.  Work grows with targets times profiles: a stated set of targets is
+    meant.  Keys are unique on either side; rows with a null key take no part.  A missing vector counts as zeros
+    (similarity 0); vectors of several lengths are refused.  An empty side gives an empty result.
+    """
+    def side(df: DataFrame) -> tuple[DataFrame, Column]:
+        rows = df.filter(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("name"), as_doubles(vector).alias("v"))
+        return rows, F.greatest(F.ceil(df.agg(F.count(F.lit(1))).scalar() / block_rows), F.lit(1)).cast("int")
+
+    (asked, n_asked), (rows, n_rows) = side(targets), side(profiles)
+    block = lambda n: F.pmod(F.xxhash64("name"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    asked = asked.withColumn("t", block(n_asked)).withColumn("r", every(n_rows))
+    rows = rows.withColumn("r", block(n_rows)).withColumn("t", every(n_asked))
+    cells = (asked.groupBy("t", "r").cogroup(rows.groupBy("t", "r"))
+             .applyInPandas(_best_of_cell(top_n), "target string, username string, tenths bigint"))
+    place = F.row_number().over(Window.partitionBy("target").orderBy(F.col("tenths").desc(), "username"))
+    return (cells.withColumn("rank", place).filter(F.col("rank") <= top_n)
+            .select("target", "rank", "username", (F.col("tenths") / 10.0).alias("similarity")))
+
+
 def fingerprint_card(profiles: DataFrame, target: Column, key: str = "username") -> DataFrame:
     """The target's own summary row (point lookup by key)."""
     return profiles.filter(F.col(key) == target).select(
