@@ -3,13 +3,16 @@
 Sources, by code point and null last, weigh 3, 1, 2, repeating, and share ``budget`` times all words; a
 target stops at ``most_copies`` times its source's words, and the excess is shared anew by weight among the
 others. Each source's documents are dealt by a seeded hash into shards and laid end to end there in seeded
-order; blocks are runs of ``block_words`` words of that order, in every source. Highest quotients give each
-source, and then each shard of a source, an integer quota of words. A shard takes all its words ``quota div
+order; blocks are runs of ``block_words`` words of that order, in every source. Highest quotients deal blocks
+to the sources by their targets, and each source's blocks to its shards by their words. To meet its target to
+the word a source cuts its last block or takes a part of one more, in one shard (in several where shards are
+full); the other shards' quotas are whole blocks, or their most. A shard takes all its words ``quota div
 words`` times, and the rest of its quota once more in blocks by systematic selection from a seeded start, so
 that how many words of a document are taken follows from two prefix sums, without listing blocks.
 
-A rest is as many blocks as hold it, and what they hold beyond it is cut off their end: a source of any size
-meets its target to the word, and no source changes how another's documents are cut.
+A rest is as many blocks as hold it, and what they hold beyond it is cut off their end (only there where a
+shard is taken more than once or has its source's cut); no source changes how another's documents are cut.
+A very long document spans many blocks of one shard; no task holds more than a batch of texts.
 
 Defined cases: a null text has no words; a document without words is taken 0 times. Repeated rows are taken
 each on its own. A null source is a source, last; a null doc_id is dealt like a value. If no document has
@@ -59,6 +62,21 @@ def sainte_lague(weights: np.ndarray, seats: int, caps: np.ndarray) -> np.ndarra
     return got
 
 
+def fitted(quota: np.ndarray, words: int, caps: np.ndarray) -> np.ndarray:
+    """The quotas brought to a sum of ``words``, the last parties giving or taking first, none below 0 or above its cap."""
+    quota, caps = quota[::-1], caps[::-1]
+    more = words - int(quota.sum())
+    open_ = caps - quota if more > 0 else quota
+    change = np.clip(abs(more) - (np.cumsum(open_) - open_), 0, open_)
+    return (quota + np.sign(more) * change)[::-1]
+
+
+def in_blocks(weights: np.ndarray, words: int, caps: np.ndarray, block: int) -> np.ndarray:
+    """Quotas of ``words`` words in all: whole blocks by highest quotients, one of them cut or a part of one more."""
+    caps = np.asarray(caps, np.int64)
+    return fitted(np.minimum(sainte_lague(weights, words // block, -(-caps // block)) * block, caps), words, caps)
+
+
 def targets(sources: pd.DataFrame, budget: float, most_copies: int, weights: tuple[float, ...]) -> pd.Series:
     """Words to take from each source. ``sources``: size, in the sources' order."""
     size = sources["size"].to_numpy(float)
@@ -78,12 +96,16 @@ def targets(sources: pd.DataFrame, budget: float, most_copies: int, weights: tup
 
 
 def plan_sources(sources: pd.DataFrame, budget=BUDGET, most_copies=MOST_COPIES, weights=WEIGHTS, block_words=BLOCK_WORDS) -> pd.DataFrame:
-    """Targets, shards and quota of words of each source; one row for each source in and out."""
+    """Targets, shards, blocks dealt and quota of words of each source; one row for each source in and out."""
     sources = sources.iloc[sorted(range(len(sources)), key=lambda k: (sources["source"][k] is None, sources["source"][k] or ""))].reset_index(drop=True)
     sources["target"] = targets(sources, budget, most_copies, weights)
     sizes = sources["size"].to_numpy(np.int64)
     sources["shards"] = np.clip(sizes // (block_words * SHARD_BLOCKS), 1, MOST_SHARDS)
-    sources["quota"] = sainte_lague(sources["target"].to_numpy(), round(float(sources["target"].sum())), most_copies * sizes)
+    goal, most = sources["target"].to_numpy(), most_copies * sizes
+    sources["dealt"] = sainte_lague(goal, int(goal.sum()) // block_words, -(-most // block_words))
+    # The last of the blocks dealt is cut, or a part of one more is taken, so that a source of any size meets its target.
+    dealt = sources["dealt"].to_numpy() * block_words
+    sources["quota"] = np.clip(dealt + (np.rint(goal).astype(np.int64) - dealt), 0, most)
     return sources
 
 
@@ -98,7 +120,7 @@ def _shard_quotas(most_copies: int, block: int):
         """Of one source's shards, MOST_SHARDS at most."""
         group = group.sort_values("shard", ignore_index=True)
         words = group["words"].to_numpy(np.int64)
-        quota = sainte_lague(words, int(group["quota"].iloc[0]), most_copies * words)
+        quota = in_blocks(words, int(group["quota"].iloc[0]), most_copies * words, block)
         blocks = np.maximum(1, -(-words // block))
         group["blocks"], group["start"] = blocks, group["seeded"].to_numpy(np.int64) % blocks
         group["copies"], group["once"] = quota // np.maximum(1, words), quota % np.maximum(1, words)

@@ -107,6 +107,33 @@ def test_quotas_of_shards_are_met_to_the_word():
             assert sum(len(t.split()) for ts in got for t in ts) == quota
 
 
+def test_seats_are_blocks():
+    rng = np.random.default_rng(2)
+    for _ in range(40):
+        sizes = rng.integers(0, 60_000, int(rng.integers(1, 7)))
+        plan = M.plan_sources(pd.DataFrame({"source": [chr(97 + k) for k in range(len(sizes))], "size": sizes}))
+        seats = int(plan["target"].sum()) // 64
+        assert plan["dealt"].tolist() == brute_sainte_lague(plan["target"].tolist(), seats, (-(-2 * sizes // 64)).tolist())
+        assert np.abs(plan["quota"] - plan["target"]).max() <= 0.5 and (plan["quota"] <= 2 * sizes).all()
+    for _ in range(60):
+        words = rng.integers(0, 3000, int(rng.integers(1, 9)))
+        total = int(rng.integers(0, 2 * words.sum() + 1))
+        quota = M.in_blocks(words, total, 2 * words, 64)
+        dealt = np.minimum(64 * np.array(brute_sainte_lague(words.tolist(), total // 64, (-(-2 * words // 64)).tolist())), 2 * words)
+        assert quota.sum() == total and (0 <= quota).all() and (quota <= 2 * words).all()
+        short = total - dealt.sum()
+        assert np.abs(quota - dealt).sum() == abs(short) <= 64 * (1 + (dealt % 64 > 0).sum())
+        if short < 64 and not (dealt % 64).any():
+            assert ((quota % 64 > 0) & (quota < 2 * words)).sum() <= 1 + (quota == 2 * words).sum()
+
+
+def test_shards_of_a_large_source_take_whole_blocks(spark):
+    docs = spark.range(400).selectExpr("id doc_id", "repeat(concat('w', id, ' '), 300) text", "if(id < 380, 'a', 'b') source")
+    rows = M.placed(docs, budget=0.4).where("source_size > 100000").select("shard", "extra", "once", "copies").distinct().collect()
+    assert len(rows) > 1 and all(r.copies == 0 for r in rows)
+    assert sum(r.once % 64 > 0 for r in rows) <= 1
+
+
 def test_no_words(spark, no_docs):
     assert M.mix(no_docs).count() == 0 and M.mixed_documents(no_docs).count() == 0
     docs = spark.createDataFrame([(1, None, None), (2, "", "a")], "doc_id long, text string, source string")
