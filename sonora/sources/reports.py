@@ -20,22 +20,20 @@ def latest_report(spark: SparkSession, path: str, keys: Sequence[str] = ()) -> D
     """The text of the lexicographically last report (of each key); without
     keys, '' when there is none.
 
-    Names are listed without reading any text (a binary-file scan of the
-    partition column alone); the texts read are those of the last names.
+    The files are listed once.  Names come from the partition column alone,
+    without reading any text; the texts read are those of the last names.
     """
     try:
-        files = spark.read.text(path, wholetext=True)
-        names = spark.read.format("binaryFile").load(path)
+        files = spark.read.format("binaryFile").load(path)
     except AnalysisException as error:
         if not missing_path(error):
             raise
         empty = spark.range(0 if keys else 1)
         return empty.select(*[F.lit(None).cast("bigint").alias(k) for k in keys], F.lit("").alias("latest_report"))
     # The text sink ends every file with one line separator; drop exactly it.
-    text = F.when(F.col("value").endswith("\n"),
-                  F.expr("substring(value, 1, length(value) - 1)")).otherwise(F.col("value"))
+    text = F.regexp_replace(F.decode("content", "UTF-8"), r"\n\z", "")
     if keys:
-        last = names.groupBy(*keys).agg(F.max("report").alias("report"))
+        last = files.groupBy(*keys).agg(F.max("report").alias("report"))
         return files.join(last, [*keys, "report"], "left_semi").select(*keys, text.alias("latest_report"))
-    last = names.agg(F.max("report")).scalar()
+    last = files.agg(F.max("report")).scalar()
     return files.filter(F.col("report") == last).agg(F.coalesce(F.max(text), F.lit("")).alias("latest_report"))

@@ -127,3 +127,13 @@ def test_limited_batches_reach_every_pair(spark):
     assert [(r.track_name, r.artist) for r in first] == sorted((r.track_name, r.artist) for r in first) and len(first) == 7
     rest = new_tracks(w.stg, existing=spark.createDataFrame(first, "track_name string, artist string"), by="pair")
     assert rest.count() == every - 7
+
+
+def test_last_report_reads_no_other_text(spark):
+    path = tempfile.mkdtemp(prefix="sonora-reports-") + "/r"
+    for day, brief in (("20240101", "old"), ("20240301", "newest\n\nélan\n"), ("20240201", "middle")):
+        reports.write_reports(spark.createDataFrame([(brief,)], "brief string"), path, F.lit(day))
+    last = reports.latest_report(spark, path)
+    assert [r.latest_report for r in last.collect()] == ["newest\n\nélan\n"]
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*report", plan)
