@@ -3,9 +3,9 @@
 Sources, by code point and null last, weigh 3, 1, 2, repeating, and share ``budget`` times all words; a
 target stops at ``most_copies`` times its source's words, and the excess is shared anew by weight among the
 others. Each source's documents are dealt by a seeded hash into shards and laid end to end there in seeded
-order; blocks are runs of ``block_words`` words of that order, in every source. Highest quotients deal blocks
-to the sources by their targets, and each source's blocks to its shards by their words. To meet its target to
-the word a source cuts its last block or takes a part of one more, in one shard (in several where shards are
+order; blocks are runs of ``block_words`` words of that order, in every source. A source's quota is its target
+to the word. Highest quotients deal the quota's whole blocks to the source's shards by their words; what is left
+is a part of one more block, in one shard (in several where shards are
 full); the other shards' quotas are whole blocks, or their most. A shard takes all its words ``quota div
 words`` times, and the rest of its quota once more in blocks by systematic selection from a seeded start, so
 that how many words of a document are taken follows from two prefix sums, without listing blocks.
@@ -96,16 +96,13 @@ def targets(sources: pd.DataFrame, budget: float, most_copies: int, weights: tup
 
 
 def plan_sources(sources: pd.DataFrame, budget=BUDGET, most_copies=MOST_COPIES, weights=WEIGHTS, block_words=BLOCK_WORDS) -> pd.DataFrame:
-    """Targets, shards, blocks dealt and quota of words of each source; one row for each source in and out."""
+    """Targets, shards and quota of words of each source; one row for each source in and out."""
     sources = sources.iloc[sorted(range(len(sources)), key=lambda k: (sources["source"][k] is None, sources["source"][k] or ""))].reset_index(drop=True)
     sources["target"] = targets(sources, budget, most_copies, weights)
     sizes = sources["size"].to_numpy(np.int64)
     sources["shards"] = np.clip(sizes // (block_words * SHARD_BLOCKS), 1, MOST_SHARDS)
-    goal, most = sources["target"].to_numpy(), most_copies * sizes
-    sources["dealt"] = sainte_lague(goal, int(goal.sum()) // block_words, -(-most // block_words))
-    # The last of the blocks dealt is cut, or a part of one more is taken, so that a source of any size meets its target.
-    dealt = sources["dealt"].to_numpy() * block_words
-    sources["quota"] = np.clip(dealt + (np.rint(goal).astype(np.int64) - dealt), 0, most)
+    # To the word: dealing whole blocks among sources and then cutting each source's last one would end at the same number.
+    sources["quota"] = np.clip(np.rint(sources["target"].to_numpy()).astype(np.int64), 0, most_copies * sizes)
     return sources
 
 
