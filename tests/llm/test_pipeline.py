@@ -128,7 +128,7 @@ def test_near_dedup_stage(stages):
 
 def test_secrets_stage(stages):
     before, after = stages[1][2], stages[1][3]
-    ratio = test_secrets.table([(r.token, r.random) for r in S.labelled_samples(before).collect()])
+    ratio = test_secrets.learned(before)
     want = Counter()
     for r in before.collect():
         text, end = "", 0
