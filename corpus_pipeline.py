@@ -28,7 +28,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secret_scan.masked(docs, secret_scan.train(secret_scan.labelled_samples(docs)))
+    return secret_scan.masked(docs, secret_scan.trained(docs))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
