@@ -19,6 +19,7 @@ from sonora.sources.testdata import adapted_events, loaded_at_literal, read_tabl
 # Fixture rule: the export's zone name cycles with the event id.
 EXPORT_ZONES = ["CDT", "PST", "UTC", "BST"]
 ROWS_PER_FILE = 1000
+LARGE_ROWS_PER_FILE = 20_000
 
 
 def _scratch(spark: SparkSession, kind: str) -> str:
@@ -68,6 +69,14 @@ def q_scan_raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _load(scanned)
 
 
+def q_scan_large_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows landed as fewer, larger arrays, which are parsed as streams."""
+    lake = _scratch(spark, "arrays")
+    a = adapted_events(spark, sf_dir).select("event_id", *RAW_FIELDS_OUT)
+    raw_json.write_raw_json(a, lake, "tracks_", "event_id", LARGE_ROWS_PER_FILE)
+    return _load(raw_json.scan_large_arrays(spark, lake, file_col="file"))
+
+
 RAW_FIELDS_OUT = ["track_name", "artist", "album", "timestamp", "unix_timestamp"]
 
 

@@ -58,6 +58,21 @@ def scan_raw_json(spark: SparkSession, path: str, file_col: str = "file_name", o
     return exploded(_files(spark, path, file_col), on_error)
 
 
+def scan_large_arrays(spark: SparkSession, path: str, file_col: str = "file_name") -> DataFrame:
+    """The rows of ``scan_raw_json`` for files too large to be one string (2 GB at most there).
+
+    The parser reads a file's array as a stream, in one pass; no text of the file is kept.  A file is one
+    task, which holds the parsed rows of its array.  ``pos`` rises in the order of the array, with gaps
+    between files, which is all that first-landed dedup needs.  An array that breaks off and text that is
+    no JSON stop the scan; an empty file has no rows, and a file that is one object counts as an array of one.
+    """
+    fields = RAW_RECORD.removeprefix("array<struct<").removesuffix(">>").replace(":", " ")
+    rows = spark.read.schema(fields).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    names = [field.split(" ")[0] for field in fields.split(",")]
+    name = F.col(file_col) if file_col in rows.columns else F.col("_metadata.file_name")
+    return rows.select(name.alias("file_name"), F.monotonically_increasing_id().alias("pos"), *names)
+
+
 def land_json_lines(records: DataFrame, path: str) -> None:
     """Land records as JSON lines that carry their landing order (``file_name``, ``pos``): the files
     split, hold as many rows as their tasks, and need no folder each."""

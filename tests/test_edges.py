@@ -1,4 +1,5 @@
 """Edges: bad files, repeated loads, empty inputs, duplicate keys, batch limits."""
+import json
 import os
 import re
 import tempfile
@@ -33,6 +34,32 @@ def test_bad_files_are_loud_or_listed(spark, bad):
     assert [r.track_name for r in raw_json.scan_raw_json(spark, folder, on_error="skip").collect()] == ["a"]
 
 
+@pytest.mark.parametrize("bad", [GOOD[:-1], '[{"track_name": "a"}, {"track', "plain text", '[{"track_name": "a"} {"track_name": "b"}]'])
+def test_bad_large_arrays_are_loud(spark, bad):
+    folder = tempfile.mkdtemp(prefix="sonora-bad-arrays-")
+    for name, text in (("1.json", "\n" + GOOD + "\n"), ("2.json", ""), ("3.json", " []")):
+        with open(os.path.join(folder, name), "w") as f:
+            f.write(text)
+    assert [(r.file_name, r.track_name, r.unix_timestamp) for r in raw_json.scan_large_arrays(spark, folder).collect()] == [("1.json", "a", "10")]
+    with open(os.path.join(folder, "4.json"), "w") as f:
+        f.write(bad)
+    with pytest.raises(Exception, match="4.json"):
+        raw_json.scan_large_arrays(spark, folder).collect()
+
+
+def test_large_arrays_give_the_rows_of_the_plain_scan_in_order(spark):
+    folder = tempfile.mkdtemp(prefix="sonora-arrays-")
+    odd = ["a } b", "x ], [ y", 'quote " and \\ slash', "line\nbreak", "é \u2028", None, ""]
+    for name in ("b.json", "a.json"):
+        plays = [{"track_name": odd[k % len(odd)], "artist": f"{name}{k}", "unix_timestamp": k if k % 2 else str(k), "extra": [{"k": k}]} for k in range(5000)]
+        with open(os.path.join(folder, name), "w") as f:
+            json.dump(plays, f, indent=None if name == "a.json" else 1)
+    order = lambda df: [tuple(r) for r in df.orderBy("file_name", "pos").drop("pos").collect()]
+    assert order(raw_json.scan_large_arrays(spark, folder)) == order(raw_json.scan_raw_json(spark, folder))
+    plan = raw_json.scan_large_arrays(spark, folder).select("artist")._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<artist:string>" in plan
+
+
 def test_json_lines_keep_their_order(spark):
     folder = tempfile.mkdtemp(prefix="sonora-lines-")
     rows = [("f", 2, "a", "x", "", None, "5"), ("f", 1, "b", None, "", "t", None)]
