@@ -42,3 +42,17 @@ def test_listeners_apart_and_empty(spark):
 def test_no_join_and_counts_combine_first(spark):
     plan = track_growth(staged(spark, [(1, "a", 0)]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Join|Cartesian", plan) and "partial_count" in plan
+
+
+def test_filled_days_are_not_shuffled(spark):
+    plan = track_growth(staged(spark, [(1, "a", 0), (1, "a", 40)]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Exchange")  # the plan reads from the result down
+
+
+def test_null_listener_and_long_gaps(spark):
+    plays = [(None, "a", 0), (None, "a", 0), (None, "a", 9), (1, "a", 3), (None, "a", 60)]
+    got = track_growth(staged(spark, plays), ("user_id",)).collect()
+    for user in (None, 1):
+        own = [p for p in plays if p[0] == user]
+        found = {("a", (r.day - DAY0.date()).days): (r.plays, r.recent, r.before, r.growth, r.ratio) for r in got if r.user_id == user}
+        assert found == {k: v for k, v in brute(own + [(0, "b", 60)], 7).items() if k[0] == "a"}
