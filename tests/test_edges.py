@@ -47,6 +47,16 @@ def test_bad_large_arrays_are_loud(spark, bad):
         raw_json.scan_large_arrays(spark, folder).collect()
 
 
+def test_large_arrays_are_read_once(spark):
+    folder = tempfile.mkdtemp(prefix="sonora-large-")
+    with open(f"{folder}/1.json", "w") as f:
+        json.dump([{"track_name": "a", "unix_timestamp": 1700000000 + i} for i in range(3000)], f)
+    files = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file")
+    before = files.getLong("bytesRead")
+    assert raw_json.scan_large_arrays(spark, folder).where("unix_timestamp >= '1700000000'").count() == 3000
+    assert files.getLong("bytesRead") - before < 4 * os.path.getsize(f"{folder}/1.json")
+
+
 def test_large_arrays_give_the_rows_of_the_plain_scan_in_order(spark):
     folder = tempfile.mkdtemp(prefix="sonora-arrays-")
     odd = ["a } b", "x ], [ y", 'quote " and \\ slash', "line\nbreak", "é \u2028", None, ""]
