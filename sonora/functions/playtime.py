@@ -1,6 +1,7 @@
 """Play-time expressions: epoch coercion, calendar fields, day-part buckets."""
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import chain
 
 from pyspark.sql import Column, functions as F
@@ -19,6 +20,11 @@ _WEEKDAY = r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,? "
 _ZONE = r" (?!(?:AM|PM)$)[A-Z]{2,5}$|(?<=:[0-9]{2}|\.[0-9]{1,9}) ?(?:Z|[+-][0-9]{2}:?[0-9]{2})$"
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _zone_offset(zone: Column) -> Column:
     """Seconds east of UTC.  Names other than the listed ones (and UTC, GMT, Z) count as UTC."""
     names = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in ZONE_OFFSETS.items()))
@@ -37,9 +43,17 @@ def parse_play_time(text: Column | str) -> Column:
     UTC when no zone is given.
     """
     txt = F.regexp_replace(F.trim(F.regexp_replace(col_(text), r"(?U)\s+", " ")), _WEEKDAY, "")
-    body = F.regexp_replace(txt, _ZONE, "")
-    wall = F.coalesce(*[F.try_to_timestamp(body, F.lit(fmt)) for fmt in PLAY_TIME_FORMATS])
-    return (F.unix_seconds(wall) - _zone_offset(F.regexp_extract(txt, _ZONE, 0))).cast("bigint")
+
+    def wall(body: Column) -> Column:
+        return F.coalesce(*[F.try_to_timestamp(body, F.lit(fmt)) for fmt in PLAY_TIME_FORMATS])
+
+    def epoch(t: Column) -> Column:
+        def of_zone(zone: Column) -> Column:
+            body = F.left(t, F.length(t) - F.length(zone))  # a zone stands at the end
+            return (F.unix_seconds(_once(body, wall)) - _zone_offset(zone)).cast("bigint")
+        return _once(F.regexp_extract(t, _ZONE, 0), of_zone)
+
+    return _once(txt, epoch)
 
 
 def coerce_unix(unix_ts: Column | str, text: Column | str, numeric: bool = False) -> Column:

@@ -20,10 +20,15 @@ def with_epoch(incoming: DataFrame) -> DataFrame:
 
 
 def clean_incoming(incoming: DataFrame) -> DataFrame:
-    """Coerce the epoch, drop rows without one, normalise the three texts."""
-    return (with_epoch(incoming)
-            .filter(F.col("unix_timestamp").isNotNull())
-            .withColumns({c: normalize_text(c) for c in ("track_name", "artist", "album")}))
+    """Coerce the epoch, drop rows without one, normalise the three texts.
+
+    The drop is an explode of no or one epoch: a filter would be pushed below the coercion and coerce every row twice.
+    """
+    numeric = isinstance(incoming.schema["unix_timestamp"].dataType, NumericType)
+    epoch = coerce_unix(F.col("unix_timestamp"), F.col("timestamp"), numeric)
+    known = F.explode(F.array_compact(F.array(epoch))).alias("unix_timestamp")
+    texts = {c: normalize_text(c) for c in ("track_name", "artist", "album")}
+    return incoming.select(*[known if c == "unix_timestamp" else texts.get(c, F.col(c)).alias(c) for c in incoming.columns])
 
 
 def dedup_events(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:

@@ -107,3 +107,20 @@ def test_play_time_layouts(spark):
     texts = [("NaN", "2026-05-31", at - at % 86400), ("0", "2026-05-31", at - at % 86400), ("12.0", None, 12), ("x", None, None)]
     frame = spark.createDataFrame([t[:2] for t in texts], "unix string, text string")
     assert [r.got for r in frame.select(coerce_unix("unix", "text").alias("got")).collect()] == [t[2] for t in texts]
+
+
+def test_an_epoch_is_coerced_once_a_row(spark):
+    from sonora.operators.load import clean_incoming
+    text = F.col("id").cast("string")
+    rows = spark.range(3).select(*[text.alias(c) for c in ("track_name", "artist", "album", "timestamp", "unix_timestamp")])
+    plan = clean_incoming(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(?U)") == 1 and plan.count("h:mm[:ss] a") == 1
+
+
+@pytest.mark.parametrize("text", [None, "", "CDT", " CDT", "2026-05-31 10:00:00+05:30", "Fri, May 31, 2026, 5:13:56 PM UTC CDT"])
+def test_zones_at_the_end(spark, text):
+    from datetime import datetime, timezone
+    from sonora.operators.load import clean_incoming
+    expected = {"2026-05-31 10:00:00+05:30": datetime(2026, 5, 31, 4, 30, tzinfo=timezone.utc).timestamp()}.get(text)
+    rows = spark.createDataFrame([("a", None, " b ", text, "0")], "track_name string, artist string, album string, timestamp string, unix_timestamp string")
+    assert [r.unix_timestamp for r in clean_incoming(rows).collect()] == ([] if expected is None else [int(expected)])
