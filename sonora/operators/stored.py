@@ -198,14 +198,16 @@ class KeyedTable:
         """Replace or add one row for each key of ``updates`` (the last by ``order_by``); the buckets rewritten."""
         columns = self.rows().columns
         path = f"{self.path}/updates"
-        updates.select(*columns, self._bucket().alias("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(path)
+        # Dealt by bucket first: else every task would write a file for each of the buckets.
+        dealt = updates.select(*columns, self._bucket().alias("bucket")).repartition("bucket")
+        dealt.write.mode("overwrite").partitionBy("bucket").parquet(path)
         arrived = self.spark.read.schema(f"{self.schema}, bucket int").parquet(path)
         touched = sorted(r.bucket for r in arrived.select("bucket").distinct().collect())  # at most ``buckets``
         if not touched:
             return []
         old = self._stored().where(F.col("bucket").isin(touched))
         new = upsert(old, arrived, ["bucket", *self.key], order_by)
-        new.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/next")
+        new.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/next")
         ready = self.spark.read.schema(f"{self.schema}, bucket int").parquet(f"{self.path}/next")
         (ready.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("bucket").parquet(f"{self.path}/rows"))

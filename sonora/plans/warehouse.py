@@ -1,7 +1,8 @@
 """The listening warehouse derived from one test-data directory.
 
 Views are lazy DataFrames.  Four tables are stored: each is written when it is
-first needed, or for all of them by ``materialise``, and read back.  ``keys=()`` is single-listener semantics over all events;
+first needed, or for all of them by ``materialise``, and read back.  So are the
+landed rows where they are loaded in two batches.  ``keys=()`` is single-listener semantics over all events;
 ``keys=("user_id",)`` keeps listeners apart (identity = listener + second).
 """
 from __future__ import annotations
@@ -66,9 +67,11 @@ class Warehouse:
     def incoming(self) -> DataFrame:
         if self.batch is None:
             return self.landed
+        # The rows are adapted once, for the cut and both batches of all keys.
+        landed = warehouse(self.spark, self.sf_dir).stored("landed_events", lambda: self.landed)
         u = F.col("unix_timestamp")
-        cut = self.landed.agg(F.floor((F.min(u) + F.max(u)) / 2)).scalar()
-        return self.landed.filter(u < cut if self.batch == "first" else u >= cut)
+        cut = landed.agg(F.floor((F.min(u) + F.max(u)) / 2)).scalar()
+        return landed.filter(u < cut if self.batch == "first" else u >= cut)
 
     # --- what each table is built from (lazy, nothing stored in between) ---
 

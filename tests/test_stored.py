@@ -106,6 +106,25 @@ def test_upsert_rewrites_only_its_buckets(spark):
     assert table.upsert(spark.createDataFrame([], PROFILE)) == [] and table.rows().count() == 42
 
 
+def test_upsert_writes_one_file_for_each_bucket(spark):
+    table = KeyedTable(spark, new_dir(), ["name"], PROFILE, buckets=4)
+    for n in (1, 2):
+        table.upsert(spark.createDataFrame([(f"u{k}", k, n) for k in range(40)], PROFILE).repartition(8))
+        for step in ("updates", "next", "rows"):
+            names = [f for _, _, found in os.walk(f"{table.path}/{step}") for f in found if f.endswith(".parquet")]
+            assert len(names) == 4, step
+
+
+def test_batches_share_the_adapted_rows(spark):
+    from sonora.plans.warehouse import warehouse
+    from tests.conftest import SF_SMALL
+    whole, batches = warehouse(spark, SF_SMALL), [warehouse(spark, SF_SMALL, ("user_id",), batch=b).incoming for b in ("first", "second")]
+    assert all("Join" not in b._jdf.queryExecution().optimizedPlan().toString() for b in batches)
+    timed = whole.landed.where("unix_timestamp IS NOT NULL")
+    both = batches[0].unionByName(batches[1])
+    assert both.exceptAll(timed).count() == timed.exceptAll(both).count() == 0
+
+
 def pairs(spark, n):
     return spark.createDataFrame([(f"t{k // 2:03d}", f"a{k % 2}") for k in range(n)] + [("x", "Unknown Artist")], "track_name string, artist_clean string")
 
