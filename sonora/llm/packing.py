@@ -45,7 +45,6 @@ def _tokenized(path: str, end_id: int):
                     "begins": begun + cut[:-1], "doc_tokens": np.diff(cut), "ids": values.cast(pa.binary()),
                 })
                 begun += int(cut[-1])
-        known.forget()  # the worker lives on, for tasks of other kinds
 
     return task
 

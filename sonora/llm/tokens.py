@@ -1,8 +1,8 @@
 """Token ids of texts, by a public tokenizer that drops white space.
 
 For such a tokenizer a text's ids are those of its white-space-separated words, one after the other. Words
-repeat, so each task keeps the ids of the words it has met (and of the pieces that the tokenizer cuts words
-into) in dictionaries of bounded size.
+repeat, so each Python worker keeps the ids of the words it has met (and of the pieces that the tokenizer cuts
+words into), from task to task, in dictionaries of bounded size.
 """
 from __future__ import annotations
 
@@ -126,11 +126,6 @@ class Tokens:
         self.special = [t.content.encode() for t in self.whole.get_added_tokens_decoder().values()]
         self.words, self.pieces, self.split = _Lists(), _Pieces(self.whole), _splitter(self.whole)
 
-    def forget(self) -> None:
-        """Give the memory back."""
-        self.words = _Lists()
-        self.pieces.forget()
-
     def _learn(self, words: list[bytes]) -> None:
         fast, text = words, b"\n".join(words)
         if not self.split or any(s in text for s in self.special):
