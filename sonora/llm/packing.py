@@ -34,7 +34,7 @@ def _tokenized(path: str, end_id: int):
         for batch in batches:
             doc_id = batch.column("doc_id")
             for first, data, offsets in W.slices(batch.column("text")):
-                words, ends = W.split_words(data, offsets)
+                words, ends = W.word_array(data, offsets)
                 ids, lengths = known.ids(words)
                 cut = np.concatenate([[0], np.cumsum(lengths)])[ends]
                 ids = np.insert(ids, cut[1:], np.uint32(end_id)).astype("<u4")

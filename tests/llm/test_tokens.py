@@ -1,10 +1,15 @@
+import random
 import zlib
+from unittest import mock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from sonora.llm import packing as P
 from sonora.llm import token_counts as T
+from sonora.llm import tokens as K
+from sonora.llm import words as W
 from sonora.llm.shared import fresh_path
 from sonora.llm.tokens import Tokens, default_tokenizer
 from tokenizers import Tokenizer
@@ -22,6 +27,54 @@ def test_words_give_the_texts_ids(rows, whole):
         assert known.ids((text or "").encode().split())[0].tolist() == whole(text)
 
 
+def _drawn(seed, n, alphabet):
+    draw = random.Random(seed)
+    return ["".join(draw.choices(alphabet, k=draw.randint(0, 12))) for _ in range(n)]
+
+
+STRANGE = [chr(c) for c in (*range(1, 0x260), 0x130, 0x301, 0x3A3, 0x416, 0x4E2D, 0x212A, 0x2C65, 0x1F600, 0x85, 0x2028)]
+
+
+@pytest.mark.parametrize("alphabet", [list("'sStTrReEvVmMlLdD0\"x"), list("aE\u00e9\u00c9\u00df\u01c5\u023a\u023e'1\u00b2.$ "), STRANGE], ids=["contractions", "latin", "strange"])
+def test_words_of_odd_characters(whole, alphabet):
+    known = Tokens(default_tokenizer())
+    for text in [*_drawn(1, 300, alphabet), " ".join(_drawn(2, 2000, alphabet)), "x<|endoftext|>y <|ENDOFTEXT|> it's"]:
+        words = text.encode().split()
+        ids, lengths = known.ids(words)
+        assert ids.tolist() == whole(b" ".join(words).decode())
+        assert lengths.tolist() == known.counts(words).tolist() == [len(whole(w.decode())) for w in words]
+
+
+def test_words_of_another_pattern(whole):
+    known = Tokens(default_tokenizer())
+    known.plainly = False  # as for a tokenizer that cuts in other ways
+    text = "It's 12 \u00c9t\u00e9s, it's"
+    assert known.ids(text.encode().split())[0].tolist() == whole(text)
+
+
+@pytest.mark.parametrize("kept", [0, 5, 40])
+def test_ids_after_dictionaries_are_started_anew(rows, whole, kept):
+    known = Tokens(default_tokenizer())
+    with mock.patch.multiple(K, WORDS_KEPT=kept, PIECES_KEPT=kept):
+        for text in ["one two \u4e2d\u6587 three", "two three\u4e2d four", *(r[1] or "" for r in rows)]:
+            assert known.ids(text.encode().split())[0].tolist() == whole(text)
+
+
+def test_word_array():
+    texts = ["", "a b", "c", None, " d\te\n", "\u00e9\u00a0f", "", "  ", *_drawn(3, 200, "ab \t\n\x0b\x1c\u00e9"), None]
+    for given in (texts, texts[1:2], [None], [], ["ab", "cd"]):
+        seen = []
+        for most in (1, 7, 1 << 20):
+            found = []
+            for _, data, offsets in W.slices(pa.array(given, pa.string()), most):
+                words, ends = W.word_array(data, offsets)
+                words = words.to_pylist()
+                assert (words, ends.tolist()) == (lambda w, e: (w, e.tolist()))(*W.split_words(data, offsets))
+                found += [words[a:b] for a, b in zip(ends[:-1], ends[1:])]
+            seen.append(found)
+        assert seen == [[(t or "").encode().split() for t in given]] * 3
+
+
 @pytest.mark.parametrize("length", [4096, 64])
 def test_packing_round_trip(docs, rows, whole, length):
     pieces = P.pack(docs, length=length).collect()
