@@ -102,3 +102,69 @@ def test_ties_round_as_one_target_rounds(spark):
     cos = np.array([[0.98765, 0.12345, -0.00005, 0.5, 1.0, 0.99995, 0.00004999]])
     want = spark.createDataFrame([(float(c),) for c in cos[0]], "c double").select((F.round("c", 4) * 10000).cast("decimal(10,0)").cast("int").alias("n"))
     assert sim._rounded4(cos)[0].tolist() == [r.n for r in want.collect()]
+
+
+def best_by_pairs(targets, rows, top_n):
+    """The rows of a cell, by a loop over all pairs."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    found = []
+    for target, a in targets:
+        scored = []
+        for name, b in rows:
+            if name == target:
+                continue
+            dots = [0.0, 0.0, 0.0]
+            if a is not None and b is not None and None not in (*a, *b):
+                for x, y in zip(a, b):
+                    dots = [dots[0] + x * y, dots[1] + x * x, dots[2] + y * y]
+            norms = dots[1] ** 0.5 * dots[2] ** 0.5
+            cos = dots[0] / norms if norms > 0 else 0.0
+            n = int((Decimal(repr(abs(cos))) * 10000).quantize(Decimal(1), ROUND_HALF_UP))
+            scored.append((-((n + 5) // 10) if cos > 0 else (n + 5) // 10, name))
+        found += [(target, name, -minus) for minus, name in sorted(scored)[:top_n]]
+    return sorted(found)
+
+
+@pytest.mark.parametrize("top_n", [1, 5, 40])
+@pytest.mark.parametrize("tile, first", [((7, 11), 6), ((512, 1024), 512)])
+def test_cell_equals_all_pairs(monkeypatch, tile, first, top_n):
+    import pandas as pd
+
+    monkeypatch.setattr(sim, "TILE", tile)
+    monkeypatch.setattr(sim, "FIRST_TILE", first)
+    rng = random.Random(8)
+    vectors = [[round(rng.random(), 1) for _ in range(3)] for _ in range(40)]
+    vectors += [[1 + 0.01 * rng.random() for _ in range(3)] for _ in range(40)] + [[rng.random() - 0.5 for _ in range(3)] for _ in range(20)]
+    vectors += [[x * 10.0 ** rng.choice([-161, -158, -120, 110, 140]) for x in v] for v in vectors[:12]]  # squares that lose digits, or are near the largest number
+    vectors += [None, None, [0.0] * 3, [0.5, None, 0.5]] + vectors[:15]
+    for names in (range(len(vectors)), [rng.randrange(90) for _ in vectors]):  # single names, repeated names
+        rows = [(f"u{k}", v) for k, v in zip(names, vectors)]
+        asked = rng.sample(rows, len(rows) // 2)
+        frame = lambda pairs: pd.DataFrame({"name": [n for n, _ in pairs], "v": [v for _, v in pairs]})
+        got = sim._best_of_cell(top_n)(frame(asked), frame(rng.sample(rows, len(rows))))
+        assert sorted(zip(got["target"], got["username"], got["tenths"].tolist())) == best_by_pairs(asked, rows, top_n)
+
+
+def test_cell_holds_no_matrix_of_its_pairs():
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    block = pd.DataFrame({"name": [f"u{k}" for k in range(4000)], "v": list(rng.random((4000, 4)))})
+    tracemalloc.start()
+    out = sim._best_of_cell(5)(block, block)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 20_000
+    assert peak < 4000 * 4000 * 4  # one 32-bit number for each pair
+
+
+def test_block_without_any_vector(spark):
+    p = profiles(spark, 8).cache()
+    none = p.filter("username = 'none'")
+    key = lambda df: [(r.target, r.rank, r.username, r.similarity) for r in df.orderBy("target", "rank").collect()]
+    assert key(sim.similar_users_of(none, p)) == [("none", k, r.username, r.similarity) for k, r in enumerate(sim.similar_users(p, F.lit("none")).collect(), 1)]
+    assert {r[2:] for r in key(sim.similar_users_of(p.filter("username <> 'none'"), none))} == {("none", 0.0)}
